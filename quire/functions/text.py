@@ -63,7 +63,7 @@ def clean_field(col: Column | str, marks: str = FULLWIDTH_MARKS) -> Column:
 
 def char_split(col: Column | str) -> Column:
     """String to its characters (code points); the empty string gives []."""
-    return F.filter(F.split(_c(col), ""), lambda x: x != "")
+    return F.array_remove(F.split(_c(col), ""), "")
 
 
 def char_unigrams(col: Column | str) -> Column:
@@ -76,16 +76,24 @@ def char_bigrams(col: Column | str) -> Column:
     return adjacent_pairs(char_split(col))
 
 
-def adjacent_pairs(seq: Column) -> Column:
-    """``array<struct<t1, t2>>`` of neighbours; arrays under two give []."""
-    n = F.size(seq)
-    pairs = F.zip_with(F.slice(seq, 1, n - 1), F.slice(seq, 2, n - 1),
-                       lambda a, b: F.struct(a.alias("t1"), b.alias("t2")))
-    return F.when(n > 1, pairs).otherwise(F.array().cast(pairs_type(seq)))
+PAIRS_TYPE = "array<struct<t1:string,t2:string>>"
+GRAMS_TYPE = "array<struct<n:int,t1:string,t2:string>>"
+
+
+def _tail(seq: Column) -> tuple[Column, Column]:
+    """``seq[1..n-1]`` and ``seq[2..n]`` (both empty when n < 2)."""
+    m = F.greatest(F.size(seq) - 1, F.lit(0))
+    return (F.when(m > 0, F.slice(seq, 1, m)).otherwise(F.array().cast("array<string>")),
+            F.when(m > 0, F.slice(seq, 2, m)).otherwise(F.array().cast("array<string>")))
+
 
+def adjacent_pairs(seq: Column) -> Column:
+    """``array<struct<t1, t2>>`` of neighbours; arrays under two give [].
 
-def pairs_type(seq: Column) -> str:
-    return "array<struct<t1:string,t2:string>>"
+    Built from ``slice`` + ``arrays_zip`` (no lambda functions), which keeps
+    it inside generated code."""
+    a, b = _tail(seq)
+    return F.arrays_zip(a, b).cast(PAIRS_TYPE)
 
 
 def word_tokens(col: Column | str) -> Column:
@@ -124,26 +132,36 @@ class Profile:
         """The unigram terms of a sequence (blanks dropped)."""
         if not self.has_blanks():
             return seq
-        return F.filter(seq, lambda x: x != " ")
+        return F.array_remove(seq, " ")
 
     def length(self, seq: Column) -> Column:
         """Number of unigram terms: the document length of the model."""
         return F.size(self.terms(seq)).cast("long")
 
     def grams(self, seq: Column, orders: tuple[int, ...] = (1, 2)) -> Column:
-        """``array<struct<n:int, t1:string, t2:string>>`` of all grams."""
+        """``array<struct<n:int, t1:string, t2:string>>`` of all grams.
+
+        Built with ``arrays_zip``/``array_repeat``/``slice`` only; for the
+        CHAR profile the blank-containing grams are still in the array and
+        must be dropped with :meth:`gram_filter` after exploding (a row
+        filter in generated code is far cheaper than lambda functions)."""
         parts = []
         if 1 in orders:
-            parts.append(F.transform(self.terms(seq), lambda x: F.struct(
-                F.lit(1).alias("n"), x.alias("t1"), F.lit(NO_TERM).alias("t2"))))
+            size = F.size(seq)
+            parts.append(F.arrays_zip(F.array_repeat(F.lit(1), size), seq,
+                                      F.array_repeat(F.lit(NO_TERM), size)).cast(GRAMS_TYPE))
         if 2 in orders:
-            pairs = adjacent_pairs(seq)
-            if self.has_blanks():
-                pairs = F.filter(pairs, lambda p: (p["t1"] != " ") & (p["t2"] != " "))
-            parts.append(F.transform(pairs, lambda p: F.struct(
-                F.lit(2).alias("n"), p["t1"].alias("t1"), p["t2"].alias("t2"))))
+            a, b = _tail(seq)
+            m = F.size(a)
+            parts.append(F.arrays_zip(F.array_repeat(F.lit(2), m), a, b).cast(GRAMS_TYPE))
         return parts[0] if len(parts) == 1 else F.concat(*parts)
 
+    def gram_filter(self, t1: Column, t2: Column) -> Column | None:
+        """Row predicate that drops grams holding a blank (None: keep all)."""
+        if not self.has_blanks():
+            return None
+        return (t1 != " ") & (t2 != " ")
+
 
 WORD = Profile("word")
 CHAR = Profile("char")

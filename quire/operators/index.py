@@ -6,12 +6,19 @@ Layout of the index tables (one row per non-zero entry, no maps):
   counts per document. ``n`` is the gram order, ``t2`` is ``''`` (string
   terms) or ``-1`` (integer ids) for unigrams. The document length ``dl`` is
   carried on each posting so scoring never joins a per-document table.
+* ``terms(n, t1, t2, df BIGINT, sum_dl BIGINT)`` - documents per term.
 * ``doc_lengths(doc_id BIGINT, dl BIGINT)`` - every *listed* document, 0
   when it has no unigram posting.
-* ``terms(n, t1, t2, df BIGINT)`` - documents per term.
 * scalars ``n_docs`` (listed documents) and ``avgdl`` (total unigram count
   over all posted documents, integer-divided by ``n_docs``), kept as Spark
   scalar subqueries so they are computed inside the query plan.
+
+When documents are tokenized here, every document also emits one *length
+marker* gram (``n = 0``, empty terms). It rides through the same postings
+aggregate and makes ``terms`` hold ``(0, '', '', N, total length)``, so a
+search derives all corpus statistics from the one postings shuffle instead
+of tokenizing the documents again. Query terms never have ``n = 0``, so the
+markers never match; public accessors filter them out.
 """
 
 from __future__ import annotations
@@ -24,23 +31,42 @@ from pyspark.sql import functions as F
 from quire.functions import weights as W
 from quire.functions.text import Profile, profile_named
 from quire.operators.bounded import broadcast_if
+from quire.session import ensure_checkpoint_dir
 
 TERM_KEYS = ["n", "t1", "t2"]
+MARKER_N = 0
+
+
+def long_col(df: DataFrame, col: str, name: str):
+    """``col`` as BIGINT named ``name`` - the bare column when it already is.
+
+    (A no-op cast/alias left in one branch of a plan and simplified away in
+    another is enough to stop Spark from reusing a shared exchange.)"""
+    if col == name and dict(df.dtypes).get(col) == "bigint":
+        return F.col(col)
+    return F.col(col).cast("long").alias(name)
 
 
 def document_sequences(docs: DataFrame, profile: Profile, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """``(doc_id, seq, dl)``: the item sequence and unigram length per document."""
     seq = profile.sequence(F.coalesce(F.col(text_col), F.lit("")))
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), seq.alias("seq"))
+    return (docs.select(long_col(docs, id_col, "doc_id"), seq.alias("seq"))
                 .withColumn("dl", profile.length(F.col("seq"))))
 
 
 def explode_grams(seqs: DataFrame, profile: Profile, keep: list[str],
-                  orders: tuple[int, ...] = (1, 2)) -> DataFrame:
-    """One row per gram occurrence: ``keep`` columns + ``n, t1, t2``."""
-    g = F.explode(profile.grams(F.col("seq"), orders)).alias("g")
-    return seqs.select(*keep, g).select(*keep, "g.n", "g.t1", "g.t2")
+                  orders: tuple[int, ...] = (1, 2), marker: bool = False) -> DataFrame:
+    """One row per gram occurrence: ``keep`` columns + ``n, t1, t2``; with
+    ``marker`` each row of ``seqs`` adds one ``(0, '', '')`` gram."""
+    arr = profile.grams(F.col("seq"), orders)
+    if marker:
+        arr = F.concat(arr, F.array(F.struct(F.lit(MARKER_N).alias("n"), F.lit("").alias("t1"),
+                                             F.lit("").alias("t2"))))
+    g = F.explode(arr).alias("g")
+    out = seqs.select(*keep, g).select(*keep, "g.n", "g.t1", "g.t2")
+    cond = profile.gram_filter(F.col("t1"), F.col("t2"))
+    return out if cond is None else out.where(cond)
 
 
 def postings_from_grams(grams: DataFrame) -> DataFrame:
@@ -50,24 +76,42 @@ def postings_from_grams(grams: DataFrame) -> DataFrame:
 
 
 def doc_freq(postings: DataFrame) -> DataFrame:
-    """Documents per term (A3)."""
-    return postings.groupBy(*TERM_KEYS).agg(F.count(F.lit(1)).alias("df"))
+    """Documents per term (A3), with the term's collection frequency ``cf``
+    and the summed length of its documents ``sum_dl`` (for the length
+    marker: the collection's total length).
 
+    df counts the documents with ``tf > 0``, as the model defines it. Every
+    statistic reads ``tf`` on purpose: column pruning then leaves the
+    postings aggregate identical for the match join, the df table and the
+    total-length subquery, and Spark shares one postings exchange between
+    all of them instead of tokenizing the documents again for each."""
+    has = F.col("tf") > 0
+    return postings.groupBy(*TERM_KEYS).agg(F.count(F.when(has, F.lit(1))).alias("df"),
+                                            F.sum("tf").cast("long").alias("cf"),
+                                            F.sum(F.when(has, F.col("dl"))).cast("long").alias("sum_dl"))
 
-def lengths_from_postings(postings: DataFrame, unigram_t2) -> DataFrame:
-    """Sum of unigram tf per posted document (A4, file-index path)."""
+
+def lengths_from_postings(postings: DataFrame) -> DataFrame:
+    """Sum of unigram tf per posted document (A4, read-postings path)."""
     return (postings.where(F.col("n") == 1).groupBy("doc_id")
                     .agg(F.sum("tf").cast("long").alias("dl")))
 
 
 @dataclass
 class Index:
-    postings: DataFrame
-    doc_lengths: DataFrame
-    posted_lengths: DataFrame
+    """Postings plus what scoring needs about the collection.
+
+    ``postings_all`` / ``terms_all`` may hold the length markers; the
+    public ``postings`` / ``terms`` / ``doc_lengths`` never do.
+    """
+
+    postings_all: DataFrame
+    listed: DataFrame
     profile: Profile | None = None
     listed_only: bool = True
-    _terms: DataFrame | None = field(default=None, repr=False)
+    markers: bool = True
+    stats: tuple[int, int] | None = None  # (n_docs, total_length) when known
+    _terms_all: DataFrame | None = field(default=None, repr=False)
 
     # ---- construction -------------------------------------------------
     @classmethod
@@ -75,87 +119,148 @@ class Index:
                        orders: tuple[int, ...] = (1, 2), id_col: str = "doc_id",
                        text_col: str = "text", restrict_to: DataFrame | None = None,
                        restrict_rows: int | None = None) -> "Index":
-        """Tokenize ``docs`` and aggregate postings.
+        """Tokenize ``docs`` (one pass) and aggregate postings.
 
         ``restrict_to`` (``n, t1, t2`` rows, at most ``restrict_rows``) keeps
-        only grams of those terms *before* the postings shuffle: a search
-        needs postings and df of its query terms only, and lengths come
-        from the token sequence, so nothing else has to be aggregated.
+        only grams of those terms (and the length markers) *before* the
+        postings shuffle: a search needs nothing else.
         """
         profile = profile_named(profile)
-        seqs = document_sequences(docs, profile, id_col, text_col)
-        grams = explode_grams(seqs, profile, ["doc_id", "dl"], orders)
+        # Documents are spread by id before tokenizing: tokenizing runs on
+        # every core whatever the input's file/row-group layout, and all
+        # grams of a document stay in one partition, so the postings
+        # aggregate, the broadcast match join and the per-(topic, document)
+        # score aggregate all run without another shuffle. The shuffled
+        # volume is the raw text, which is smaller than its exploded grams.
+        spread = docs.select(long_col(docs, id_col, "doc_id"), F.col(text_col).alias("text")) \
+                     .repartition("doc_id")
+        seqs = document_sequences(spread, profile, "doc_id", "text")
+        grams = explode_grams(seqs, profile, ["doc_id", "dl"], orders, marker=True)
         if restrict_to is not None:
-            grams = grams.join(broadcast_if(restrict_to.select(*TERM_KEYS).distinct(),
-                                            restrict_rows), TERM_KEYS, "left_semi")
-        lengths = seqs.select("doc_id", "dl")
-        return cls(postings_from_grams(grams), lengths, lengths, profile, True)
+            spark = docs.sparkSession
+            marker = spark.createDataFrame([(MARKER_N, "", "")], "n int, t1 string, t2 string")
+            keep = restrict_to.select(*TERM_KEYS).distinct().unionByName(marker)
+            rows = None if restrict_rows is None else restrict_rows + 1
+            grams = grams.join(broadcast_if(keep, rows), TERM_KEYS, "left_semi")
+        listed = docs.select(long_col(docs, id_col, "doc_id"))
+        return cls(postings_from_grams(grams), listed, profile, True, True)
 
     @classmethod
-    def from_postings(cls, postings: DataFrame, listed_docs: DataFrame,
-                      terms: DataFrame | None = None) -> "Index":
+    def from_postings(cls, postings: DataFrame, listed_docs: DataFrame) -> "Index":
         """An index from read postings ``(n, t1, t2, doc_id, tf)`` and the
-        listed documents ``(doc_id)``; lengths are aggregated, and postings
-        of unlisted documents still count in df and in the average length."""
-        posted = lengths_from_postings(postings, None)
-        listed = (listed_docs.select(F.col("doc_id").cast("long"))
-                  .join(posted, "doc_id", "left")
-                  .select("doc_id", F.coalesce("dl", F.lit(0)).cast("long").alias("dl")))
+        listed documents ``(doc_id)``. Postings of unlisted documents count
+        in df and in the average length but are never ranked."""
+        posted = lengths_from_postings(postings)
         with_dl = (postings.join(posted, "doc_id", "left")
                    .select(*TERM_KEYS, F.col("doc_id").cast("long"), F.col("tf").cast("long"),
                            F.coalesce("dl", F.lit(0)).cast("long").alias("dl")))
-        return cls(with_dl, listed, posted, None, False, terms)
+        listed = listed_docs.select(F.col("doc_id").cast("long"))
+        return cls(with_dl, listed, None, False, False)
 
     # ---- persisted form ------------------------------------------------
     def save(self, path: str, mode: str = "errorifexists") -> None:
-        """Write postings (partitioned by gram order, clustered by term),
-        terms and lengths as Parquet."""
+        """Write postings (partitioned by gram order, clustered by term so
+        Parquet row-group statistics prune term lookups), terms, the listed
+        documents and the two corpus scalars."""
         (self.postings.repartition("n", "t1").sortWithinPartitions(*TERM_KEYS, "doc_id")
              .write.mode(mode).partitionBy("n").parquet(f"{path}/postings"))
-        (self.terms.write.mode(mode).partitionBy("n").parquet(f"{path}/terms"))
-        self.doc_lengths.write.mode(mode).parquet(f"{path}/doc_lengths")
-        self.posted_lengths.write.mode(mode).parquet(f"{path}/posted_lengths")
-        flag = self.postings.sparkSession.createDataFrame(
-            [(self.listed_only, self.profile.name if self.profile else None)],
-            "listed_only boolean, profile string")
-        flag.write.mode(mode).parquet(f"{path}/meta")
+        self.terms.write.mode(mode).partitionBy("n").parquet(f"{path}/terms")
+        self.listed.write.mode(mode).parquet(f"{path}/listed")
+        spark = self.postings_all.sparkSession
+        n_docs, total = self.collect_stats()
+        spark.createDataFrame(
+            [(self.listed_only, self.profile.name if self.profile else None, n_docs, total)],
+            "listed_only boolean, profile string, n_docs long, total_length long",
+        ).write.mode(mode).parquet(f"{path}/meta")
+
+    def collect_stats(self) -> tuple[int, int]:
+        if self.stats is not None:
+            return self.stats
+        spark = self.postings_all.sparkSession
+        row = spark.range(1).select(self.n_docs().alias("a"), self.total_length().alias("b")).first()
+        return int(row["a"]), int(row["b"] or 0)
 
     @classmethod
     def load(cls, spark, path: str) -> "Index":
         meta = spark.read.parquet(f"{path}/meta").first()
-        postings = spark.read.parquet(f"{path}/postings").select(
-            "n", "t1", "t2", "doc_id", "tf", "dl")
-        terms = spark.read.parquet(f"{path}/terms").select("n", "t1", "t2", "df")
+        postings = spark.read.parquet(f"{path}/postings").select(*TERM_KEYS, "doc_id", "tf", "dl")
+        terms = spark.read.parquet(f"{path}/terms").select(*TERM_KEYS, "df", "cf", "sum_dl")
         prof = profile_named(meta["profile"]) if meta["profile"] else None
-        return cls(postings, spark.read.parquet(f"{path}/doc_lengths"),
-                   spark.read.parquet(f"{path}/posted_lengths"), prof,
-                   bool(meta["listed_only"]), terms)
+        return cls(postings, spark.read.parquet(f"{path}/listed"), prof, bool(meta["listed_only"]),
+                   False, (int(meta["n_docs"]), int(meta["total_length"])), terms)
+
+    def materialized(self) -> "Index":
+        """Write the postings once to the session's checkpoint folder and
+        read them from there (lineage cut; survives lost executors).
+
+        Everything derived from them - df, the total length, the match
+        join of both feedback passes - then reads those files instead of
+        tokenizing the documents again. Each document's postings sit in one
+        partition, so per-(topic, document) sums are complete after the
+        map-side partial aggregate and only final pairs are shuffled."""
+        ensure_checkpoint_dir(self.postings_all.sparkSession)
+        postings = self.postings_all.checkpoint(eager=True)
+        return replace(self, postings_all=postings, _terms_all=None)
+
+    # ---- tables ---------------------------------------------------------
+    @property
+    def terms_all(self) -> DataFrame:
+        if self._terms_all is None:
+            self._terms_all = doc_freq(self.postings_all)
+        return self._terms_all
+
+    @property
+    def postings(self) -> DataFrame:
+        p = self.postings_all
+        return p.where(F.col("n") > 0) if self.markers else p
 
-    # ---- derived tables and scalars -----------------------------------
     @property
     def terms(self) -> DataFrame:
-        if self._terms is None:
-            self._terms = doc_freq(self.postings)
-        return self._terms
+        t = self.terms_all
+        return (t.where(F.col("n") > 0) if self.markers else t).select(*TERM_KEYS, "df", "cf", "sum_dl")
+
+    @property
+    def doc_lengths(self) -> DataFrame:
+        """Every listed document with its length (0 without unigrams)."""
+        if self.markers:
+            return self.postings_all.where(F.col("n") == MARKER_N).select("doc_id", "dl")
+        posted = lengths_from_postings(self.postings)
+        return (self.listed.join(posted, "doc_id", "left")
+                    .select("doc_id", F.coalesce("dl", F.lit(0)).cast("long").alias("dl")))
 
+    # ---- scalars ---------------------------------------------------------
     def n_docs(self) -> Column:
-        """Listed documents (A6) as a scalar subquery."""
-        return self.doc_lengths.select(F.count(F.lit(1))).scalar()
+        """Listed documents."""
+        if self.stats is not None:
+            return F.lit(self.stats[0]).cast("long")
+        return self.listed.select(F.count(F.lit(1))).scalar()
 
     def total_length(self) -> Column:
-        return self.posted_lengths.select(F.coalesce(F.sum("dl"), F.lit(0)).cast("long")).scalar()
+        """Unigram count over all posted documents."""
+        if self.stats is not None:
+            return F.lit(self.stats[1]).cast("long")
+        if self.markers:
+            return self.terms_all.select(
+                F.max(F.when(F.col("n") == MARKER_N, F.col("sum_dl"))).cast("long")).scalar()
+        return self.postings_all.select(
+            F.sum(F.when(F.col("n") == 1, F.col("tf"))).cast("long")).scalar()
 
     def avgdl(self) -> Column:
         """Total length div listed documents (A5, integer division)."""
         n = self.n_docs()
-        return F.when(n > 0, F.floor(F.try_divide(self.total_length(), n))).cast("long")
+        return F.when(n > 0, F.floor(F.try_divide(F.coalesce(self.total_length(), F.lit(0)), n))) \
+                .cast("long")
 
     def restricted(self, terms: DataFrame, proven_rows: int | None) -> "Index":
-        """Postings and df of the given terms only (left-semi, broadcast)."""
+        """Postings and df of the given terms only (left-semi, broadcast);
+        corpus scalars are fixed first so they still cover everything."""
         keep = broadcast_if(terms.select(*TERM_KEYS).distinct(), proven_rows)
-        postings = self.postings.join(keep, TERM_KEYS, "left_semi")
-        t = self.terms.join(keep, TERM_KEYS, "left_semi") if self._terms is not None else None
-        return replace(self, postings=postings, _terms=t)
+        stats = self.stats
+        if stats is None:
+            stats = self.collect_stats()
+        return Index(self.postings_all.join(keep, TERM_KEYS, "left_semi"), self.listed,
+                     self.profile, self.listed_only, False, stats,
+                     self.terms_all.join(keep, TERM_KEYS, "left_semi"))
 
     # ---- per-document vectors -----------------------------------------
     def doc_norms(self, truncated: bool = True) -> DataFrame:
@@ -163,9 +268,9 @@ class Index:
         (A11): ``doc_id, n, l2``; 0 for documents without terms."""
         n_docs = self.n_docs()
         w = W.idf_truncated(n_docs, F.col("df")) if truncated else W.idf(n_docs, F.col("df"))
-        sq = (self.postings.join(self.terms, TERM_KEYS)
+        sq = (self.postings.join(self.terms.select(*TERM_KEYS, "df"), TERM_KEYS)
               .select("doc_id", "n", F.pow(W.tfidf(F.col("tf"), w), 2).alias("sq"))
               .groupBy("doc_id", "n").agg(F.sqrt(F.sum("sq")).alias("l2")))
-        grid = self.doc_lengths.select("doc_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("n"))
+        grid = self.listed.select("doc_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("n"))
         return (grid.join(sq, ["doc_id", "n"], "left")
                     .select("doc_id", "n", F.coalesce("l2", F.lit(0.0)).alias("l2")))

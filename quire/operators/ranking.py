@@ -8,9 +8,10 @@ topics x documents:
 * scores are >= 0 when every posted document is listed (df <= N), so an
   unmatched document can only reach a topic's top k if fewer than k
   documents precede it by id - i.e. it is among the first k documents by
-  id. Topics with fewer than k positive scores get those k candidates
-  (minus the documents they matched), which is at most one ranked list
-  worth of extra rows per topic.
+  id. Each topic therefore gets those k documents as zero-weight candidate
+  rows, fed into the same aggregate as its matches (a matched candidate
+  simply sums to its own score): at most one ranked list worth of extra
+  rows per topic, and no anti join or second pass over the scores.
 * when unlisted postings make df > N possible, negative scores rank below
   every zero; the candidate window then widens by the largest number of
   negative scores of any topic, which keeps the argument exact.
@@ -43,33 +44,21 @@ def first_docs(listed: DataFrame, width: int) -> DataFrame:
     return head.withColumn("slot", F.row_number().over(Window.orderBy("doc_id")))
 
 
-def zero_fill(scores: DataFrame, topic_ids: DataFrame, listed: DataFrame, k: int,
-              width: int | None = None) -> DataFrame:
-    """Zero-score candidates ``topic_id, doc_id, score`` for topics with
-    fewer than ``k`` positive scores (J4)."""
-    width = width or k
-    positive = (scores.where(F.col("score") > 0).groupBy("topic_id")
-                      .agg(F.count(F.lit(1)).alias("n_pos")))
-    needing = (topic_ids.join(positive, "topic_id", "left")
-                        .where(F.coalesce(F.col("n_pos"), F.lit(0)) < k)
-                        .select("topic_id"))
-    slots = needing.select("topic_id", F.explode(F.sequence(F.lit(1), F.lit(width))).alias("slot"))
-    cand = slots.join(F.broadcast(first_docs(listed, width)), "slot").select("topic_id", "doc_id")
-    return (cand.join(scores.select("topic_id", "doc_id"), ["topic_id", "doc_id"], "left_anti")
-                .select("topic_id", "doc_id", F.lit(0.0).alias("score")))
+def fill_candidates(topic_ids: DataFrame, listed: DataFrame, width: int) -> DataFrame:
+    """``topic_id, doc_id``: each topic with the first ``width`` listed
+    documents by id. Slot j of a topic joins the j-th document (an equi-join
+    on the slot number against a broadcast table of ``width`` rows)."""
+    slots = topic_ids.select("topic_id", F.explode(F.sequence(F.lit(1), F.lit(width))).alias("slot"))
+    # Partitioned like document-partitioned contributions, so the union
+    # feeding the score aggregate keeps their partitioning (no reshuffle).
+    return (slots.join(F.broadcast(first_docs(listed, width)), "slot")
+                 .select("topic_id", "doc_id").repartition("doc_id"))
 
 
-def rank_all_docs(scores: DataFrame, topic_ids: DataFrame, listed: DataFrame, k: int,
-                  nonnegative: bool = True) -> DataFrame:
-    """Top ``k`` of every listed document per topic, matched or not (J4+J5).
-
-    ``scores``: ``topic_id, doc_id, score`` for matched pairs only.
-    """
-    width = k
-    if not nonnegative:
-        neg = (scores.where(F.col("score") < 0).groupBy("topic_id")
-                     .agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0])
-        width = k + int(neg or 0)
-    filled = scores.select("topic_id", "doc_id", "score").unionByName(
-        zero_fill(scores, topic_ids, listed, k, width))
-    return top_k(filled, k)
+def fill_width(scores: DataFrame, k: int, nonnegative: bool) -> int:
+    """How many leading documents zero fill must offer (see module doc)."""
+    if nonnegative:
+        return k
+    neg = (scores.where(F.col("score") < 0).groupBy("topic_id")
+                 .agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0])
+    return k + int(neg or 0)

@@ -17,37 +17,57 @@ from quire.operators.bounded import broadcast_if
 from quire.operators.index import TERM_KEYS, Index
 
 
-def match(index: Index, qterms: DataFrame, qterms_rows: int | None) -> DataFrame:
-    """Topic terms meet postings on the term (J1): ``topic_id, n, t1, t2,
-    doc_id, tf, dl, qtf, qdf, df``.
-
-    ``qterms`` (``topic_id, n, t1, t2, qtf, qdf``, at most ``qterms_rows``
-    rows) is joined with the df of its terms first; the result is no larger,
-    so the same bound licenses broadcasting it into the postings scan. Hot
-    terms therefore never concentrate in one shuffle partition.
+def query_stats(index: Index, qterms: DataFrame) -> DataFrame:
+    """``topic_id, n, t1, t2, qtf, qdf, df`` for query terms the collection
+    has (the inner join drops unseen terms, which score nothing).
+
+    ``index`` must already be restricted to the batch's terms, so this join
+    is between two tables no larger than the topic terms."""
+    return qterms.join(index.terms_all.select(*TERM_KEYS, "df"), TERM_KEYS)
+
+
+def match(index: Index, qstats: DataFrame, qstats_rows: int | None) -> DataFrame:
+    """Topic terms meet postings on the term (J1): every column of
+    ``qstats`` plus ``doc_id, tf, dl``.
+
+    ``qstats`` has at most ``qstats_rows`` rows (it cannot outgrow the
+    counted topic terms), which licenses broadcasting it into the postings
+    scan: the large side is never shuffled for the join, so a hot term's
+    postings never pile up in one partition.
     """
-    wanted = broadcast_if(qterms.select(*TERM_KEYS).distinct(), qterms_rows)
-    dfq = index.terms.join(wanted, TERM_KEYS, "left_semi")
-    qstats = qterms.join(dfq, TERM_KEYS)
-    return index.postings.join(broadcast_if(qstats, qterms_rows), TERM_KEYS)
+    return index.postings_all.join(broadcast_if(qstats, qstats_rows), TERM_KEYS)
+
 
+def vsm_factors(qstats: DataFrame, n_docs: Column, n_topics: Column,
+                unigram_share: float = W.UNIGRAM_MIX) -> DataFrame:
+    """Adds ``f``: everything of W5 * W6 that does not depend on the
+    document - mix * qtf * log2(Q/qdf) * log2(N/df) - once per (topic,
+    term) on the small side."""
+    f = (W.gram_mix(F.col("n"), unigram_share) * F.col("qtf").cast("double")
+         * W.query_idf(n_topics, F.col("qdf")) * W.idf(n_docs, F.col("df")))
+    return qstats.withColumn("f", f)
 
-def vsm_contributions(matches: DataFrame, n_docs: Column, n_topics: Column,
-                      unigram_share: float = W.UNIGRAM_MIX) -> DataFrame:
-    """Adds ``w``: the document-length-free part of W5 * W6 times the
-    gram-order mix, i.e. mix * qtf * log2(Q/qdf) * tf * log2(N/df)."""
-    w = (W.gram_mix(F.col("n"), unigram_share) * F.col("qtf").cast("double")
-         * W.query_idf(n_topics, F.col("qdf")) * F.col("tf").cast("double")
-         * W.idf(n_docs, F.col("df")))
-    return matches.withColumn("w", w)
 
+def contributions(matches: DataFrame) -> DataFrame:
+    """``w = f * tf`` per matched (topic, term, document)."""
+    return matches.withColumn("w", F.col("f") * F.col("tf").cast("double"))
 
-def vsm_scores(contrib: DataFrame, avgdl: Column) -> DataFrame:
+
+def _with_fill(contrib: DataFrame, fill: DataFrame | None) -> DataFrame:
+    rows = contrib.select("topic_id", "doc_id", "dl", "w")
+    if fill is None:
+        return rows
+    return rows.unionByName(fill.select("topic_id", "doc_id", F.lit(None).cast("long").alias("dl"),
+                                        F.lit(0.0).alias("w")))
+
+
+def vsm_scores(contrib: DataFrame, avgdl: Column, fill: DataFrame | None = None) -> DataFrame:
     """Sum per (topic, document), then divide by the squared length norm
     (J2/J3): both weights carry the document's norm, so it factors out of
     the sum. With an average length of 0 the norm is infinite and the
-    score 0, as in the model."""
-    raw = contrib.groupBy("topic_id", "doc_id", "dl").agg(F.sum("w").alias("raw"))
+    score 0, as in the model. ``fill`` adds zero-weight candidate pairs."""
+    raw = (_with_fill(contrib, fill).groupBy("topic_id", "doc_id")
+           .agg(F.sum("w").alias("raw"), F.max("dl").alias("dl")))
     norm = W.length_norm(F.col("dl"), avgdl)
     score = F.coalesce(F.try_divide(F.col("raw"), norm * norm), F.lit(0.0))
     return raw.select("topic_id", "doc_id", W.rank_score(score).alias("score"))
@@ -71,33 +91,35 @@ def boost_feedback(contrib: DataFrame, fb_terms: DataFrame, fb_term_rows: int |
                    .drop("boost"))
 
 
-def legacy_contributions(matches: DataFrame, n_docs: Column,
-                         unigram_share: float = W.LEGACY_UNIGRAM_MIX) -> DataFrame:
-    """Legacy score terms (J10): qtf * tf * idf^2 with no length norm and no
+def legacy_factors(qstats: DataFrame, n_docs: Column,
+                   unigram_share: float = W.LEGACY_UNIGRAM_MIX) -> DataFrame:
+    """Legacy score factor (J10): mix * qtf * idf^2, no length norm and no
     query idf; unigrams use the truncated idf, bigrams the exact one; the
-    mix is 0.8 / 0.2. (qtf counts repeats of the query term.)"""
-    uni_idf = W.idf_truncated(n_docs, F.col("df"))
-    bi_idf = W.idf(n_docs, F.col("df"))
-    idf = F.when(F.col("n") == 1, uni_idf).otherwise(bi_idf)
-    w = (W.gram_mix(F.col("n"), unigram_share) * F.col("qtf").cast("double")
-         * F.col("tf").cast("double") * idf * idf)
-    return matches.withColumn("w", w)
+    mix is 0.8 / 0.2; qtf counts the repeats of a query term."""
+    idf = F.when(F.col("n") == 1, W.idf_truncated(n_docs, F.col("df"))) \
+           .otherwise(W.idf(n_docs, F.col("df")))
+    f = W.gram_mix(F.col("n"), unigram_share) * F.col("qtf").cast("double") * idf * idf
+    return qstats.withColumn("f", f)
 
 
-def sum_scores(contrib: DataFrame) -> DataFrame:
+def sum_scores(contrib: DataFrame, fill: DataFrame | None = None) -> DataFrame:
     """Plain sum per (topic, document), no normalisation."""
-    return (contrib.groupBy("topic_id", "doc_id")
+    return (_with_fill(contrib, fill).groupBy("topic_id", "doc_id")
                    .agg(W.rank_score(F.sum("w")).alias("score")))
 
 
-def cosine_unigram(matches: DataFrame, norms: DataFrame, n_docs: Column) -> DataFrame:
-    """Sum over query unigrams (repeats counted) of idf * (tf * idf),
-    divided by the document's unigram L2 norm (J12); truncated idf.
-    Documents whose norm is 0 have no defined cosine and are left out."""
+def cosine_factors(qstats: DataFrame, n_docs: Column) -> DataFrame:
+    """Cosine numerator factor (J12), unigrams only: qtf * idf * idf with
+    the truncated idf (sum over query terms with repeats of idf * tf*idf)."""
     idf = W.idf_truncated(n_docs, F.col("df"))
-    w = F.col("qtf").cast("double") * idf * W.tfidf(F.col("tf"), idf)
-    sums = (matches.where(F.col("n") == 1).withColumn("w", w)
-                   .groupBy("topic_id", "doc_id").agg(F.sum("w").alias("num")))
+    return (qstats.where(F.col("n") == 1)
+                  .withColumn("f", F.col("qtf").cast("double") * idf * idf))
+
+
+def cosine_scores(contrib: DataFrame, norms: DataFrame) -> DataFrame:
+    """Numerator per (topic, document) over the document's unigram L2 norm;
+    documents whose norm is 0 have no defined cosine and are left out."""
+    sums = contrib.groupBy("topic_id", "doc_id").agg(F.sum("w").alias("num"))
     uni = norms.where(F.col("n") == 1).select("doc_id", "l2")
     return (sums.join(uni, "doc_id")
                 .select("topic_id", "doc_id",

@@ -22,46 +22,57 @@ from quire.functions.text import Profile, profile_named
 from quire.operators import scoring as S
 from quire.operators.bounded import count_upto
 from quire.operators.index import Index
-from quire.operators.ranking import rank_all_docs, top_k
+from quire.operators.ranking import fill_candidates, fill_width, top_k
 from quire.operators.topics import TopicBatch
 from quire.session import max_broadcast_rows
 
 
 def _query_index(source: Index | DataFrame, qterms: DataFrame, bound: int | None,
-                 profile: Profile) -> Index:
+                 profile: Profile, orders=(1, 2)) -> Index:
     if isinstance(source, Index):
         return source.restricted(qterms, bound)
-    return Index.from_documents(source, profile, restrict_to=qterms, restrict_rows=bound)
+    return Index.from_documents(source, profile, orders, restrict_to=qterms,
+                                restrict_rows=bound).materialized()
 
 
 class Search:
     """The pieces of one batch search, exposed for inspection and tests."""
 
     def __init__(self, source: Index | DataFrame, topics: TopicBatch,
-                 profile: Profile | str = "word"):
+                 profile: Profile | str = "word", orders=(1, 2)):
         self.profile = profile_named(profile)
         self.topics = topics
         self.qterms, self.qterm_rows = topics.weighted_terms()
         limit = max_broadcast_rows(topics.ids.sparkSession)
         n_topics = count_upto(topics.ids, limit)
         self.topic_rows = n_topics if n_topics <= limit else None
-        self.index = _query_index(source, self.qterms, self.qterm_rows, self.profile)
+        self.index = _query_index(source, topics.terms(), self.qterm_rows, self.profile, orders)
         self.n_docs = self.index.n_docs()
         self.n_topics = topics.count()
         self.avgdl = self.index.avgdl()
 
-    def matches(self) -> DataFrame:
-        return S.match(self.index, self.qterms, self.qterm_rows)
+    def qstats(self) -> DataFrame:
+        return S.query_stats(self.index, self.qterms)
+
+    def matches(self, qstats: DataFrame | None = None) -> DataFrame:
+        return S.match(self.index, qstats if qstats is not None else self.qstats(),
+                       self.qterm_rows)
 
     def contributions(self) -> DataFrame:
-        return S.vsm_contributions(self.matches(), self.n_docs, self.n_topics)
+        factors = S.vsm_factors(self.qstats(), self.n_docs, self.n_topics)
+        return S.contributions(self.matches(factors))
 
-    def scores(self, contrib: DataFrame | None = None) -> DataFrame:
-        return S.vsm_scores(contrib if contrib is not None else self.contributions(), self.avgdl)
+    def scores(self, contrib: DataFrame | None = None, fill: DataFrame | None = None) -> DataFrame:
+        """Sparse scores of matched pairs (plus ``fill`` candidates at 0)."""
+        contrib = contrib if contrib is not None else self.contributions()
+        return S.vsm_scores(contrib, self.avgdl, fill)
 
-    def rank(self, scores: DataFrame, k: int) -> DataFrame:
-        return rank_all_docs(scores, self.topics.ids, self.index.doc_lengths, k,
-                             nonnegative=self.index.listed_only)
+    def rank(self, contrib: DataFrame, k: int, scorer=None) -> DataFrame:
+        """Top ``k`` of all listed documents per topic (J4 + J5)."""
+        scorer = scorer or self.scores
+        width = fill_width(scorer(contrib), k, self.index.listed_only)
+        fill = fill_candidates(self.topics.ids, self.index.listed, width)
+        return top_k(scorer(contrib, fill), k)
 
     def feedback_docs(self, first_pass: DataFrame) -> DataFrame:
         return first_pass.where(F.col("rank") <= W.FEEDBACK_DOCS)
@@ -72,12 +83,12 @@ class Search:
 
     def run(self, k: int = W.DEFAULT_TOP_K, feedback: bool = False) -> DataFrame:
         contrib = self.contributions()
-        first = self.rank(self.scores(contrib), max(k, W.FEEDBACK_DOCS) if feedback else k)
         if not feedback:
-            return first
+            return self.rank(contrib, k)
+        first = self.rank(contrib, W.FEEDBACK_DOCS)
         fb_terms = self.feedback_terms(contrib, self.feedback_docs(first))
         boosted = S.boost_feedback(contrib, fb_terms, self.qterm_rows)
-        return self.rank(self.scores(boosted), k)
+        return self.rank(boosted, k)
 
 
 def search(source: Index | DataFrame, topics: TopicBatch, k: int = W.DEFAULT_TOP_K,
@@ -98,5 +109,5 @@ def search_legacy(source: Index | DataFrame, topics: TopicBatch, k: int = W.DEFA
     """Legacy ranking (J11): un-normalised sum of qtf * tf * idf^2, unigram
     idf truncated, 0.8 / 0.2 mix, zero fill, top ``k``."""
     s = Search(source, topics, profile)
-    scores = S.sum_scores(S.legacy_contributions(s.matches(), s.n_docs))
-    return s.rank(scores, k)
+    contrib = S.contributions(s.matches(S.legacy_factors(s.qstats(), s.n_docs)))
+    return s.rank(contrib, k, S.sum_scores)
