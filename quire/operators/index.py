@@ -251,6 +251,18 @@ class Index:
         return F.when(n > 0, F.floor(F.try_divide(F.coalesce(self.total_length(), F.lit(0)), n))) \
                 .cast("long")
 
+    def corpus(self) -> DataFrame:
+        """One row: ``n_docs`` (A6), ``total_length`` and ``avgdl`` (A5)."""
+        if self.markers:
+            base = self.doc_lengths.agg(F.count(F.lit(1)).alias("n_docs"),
+                                        F.coalesce(F.sum("dl"), F.lit(0)).cast("long").alias("total_length"))
+        else:
+            base = self.listed.agg(F.count(F.lit(1)).alias("n_docs")).select(
+                "n_docs", F.coalesce(self.total_length(), F.lit(0)).alias("total_length"))
+        avg = F.when(F.col("n_docs") > 0,
+                     F.floor(F.try_divide(F.col("total_length"), F.col("n_docs")))).cast("long")
+        return base.withColumn("avgdl", avg)
+
     def restricted(self, terms: DataFrame, proven_rows: int | None) -> "Index":
         """Postings and df of the given terms only (left-semi, broadcast);
         corpus scalars are fixed first so they still cover everything."""
