@@ -270,8 +270,13 @@ class Index:
         stats = self.stats
         if stats is None:
             stats = self.collect_stats()
-        return Index(self.postings_all.join(keep, TERM_KEYS, "left_semi"), self.listed,
-                     self.profile, self.listed_only, False, stats,
+        postings = self.postings_all.join(keep, TERM_KEYS, "left_semi")
+        if not self.listed_only:
+            # postings of unlisted documents count in df and in the average
+            # length (both fixed above) but are never ranked; the document
+            # list has no size bound, so this semi join is left to a shuffle
+            postings = postings.join(self.listed, "doc_id", "left_semi")
+        return Index(postings, self.listed, self.profile, self.listed_only, False, stats,
                      self.terms_all.join(keep, TERM_KEYS, "left_semi"))
 
     # ---- per-document vectors -----------------------------------------

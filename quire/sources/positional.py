@@ -4,7 +4,8 @@ Rows get consecutive ids in a defined order: per input partition (or file
 split) the rows are counted, a running sum over those counts - one small
 row per partition - gives each partition its offset, and the offset plus
 the row's place inside its partition is the id. Only the per-partition
-counts ever meet in one place.
+counts ever meet in one place; a split is never larger than the reader's
+split size, so windows over one split stay bounded.
 """
 
 from __future__ import annotations
@@ -34,19 +35,35 @@ def ordered_ids(df: DataFrame, order_cols: list[str], name: str, start: int = 0)
                    n_splits=tagged.rdd.getNumPartitions())
 
 
-def file_positions(lines: DataFrame, name: str, start: int = 0) -> DataFrame:
-    """Add ``name``: the 0-based line position within each file, for a
-    DataFrame read with ``spark.read.text`` (or any file source).
+def split_tagged(lines: DataFrame) -> DataFrame:
+    """Adds ``_file``, ``_block`` (the split's byte offset) and ``_mid``
+    (increasing in file order within a split) to a file-source DataFrame."""
+    return lines.select("*", F.col("_metadata.file_path").alias("_file"),
+                        F.col("_metadata.file_block_start").alias("_block"),
+                        F.monotonically_increasing_id().alias("_mid"))
 
-    Splits are ordered by their byte offset within the file; rows of one
-    split are contiguous in one partition, so a row's place inside its
-    split is its ``monotonically_increasing_id`` minus the split's smallest.
+
+def file_positions(lines: DataFrame, name: str, start: int = 0, weight=None) -> DataFrame:
+    """Add ``name``: the running position of each row within its file, for
+    a DataFrame read with ``spark.read.text`` (or any file source).
+
+    ``weight`` (a column, default 1) says how many positions a row takes;
+    ``name`` is then the position of its first one (rows of weight 0 take
+    none). Splits are ordered by byte offset; the running sum inside a split
+    is a window over that split only, and the offsets of the splits come
+    from one small row per split.
     """
-    tagged = lines.select("*", F.col("_metadata.file_path").alias("_file"),
-                          F.col("_metadata.file_block_start").alias("_block"),
-                          F.monotonically_increasing_id().alias("_mid"))
-    return _number(tagged, [F.col("_file"), F.col("_block")], name, start,
-                   partition_by=["_file"])
+    w_col = F.lit(1) if weight is None else weight
+    tagged = split_tagged(lines).withColumn("_w", w_col.cast("long"))
+    split_w = Window.partitionBy("_file", "_block").orderBy("_mid")
+    inside = tagged.withColumn(
+        "_in", F.coalesce(F.sum("_w").over(split_w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    per_split = tagged.groupBy("_file", "_block").agg(F.sum("_w").alias("_n"))
+    file_w = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_split.withColumn("_off", F.coalesce(F.sum("_n").over(file_w), F.lit(0))).drop("_n")
+    out = inside.join(offsets, ["_file", "_block"])
+    return (out.withColumn(name, F.col("_off") + F.col("_in") + F.lit(start))
+               .drop("_off", "_in", "_w", "_mid", "_block", "_file"))
 
 
 def _number(tagged: DataFrame, split_key, name: str, start: int,
