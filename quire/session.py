@@ -48,10 +48,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     created; a cluster must name a shared, fault-tolerant location.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
+        if current is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if current:
+        return current
     local = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
