@@ -58,8 +58,17 @@ class Search:
         return S.match(self.index, qstats if qstats is not None else self.qstats(),
                        self.qterm_rows)
 
-    def contributions(self) -> DataFrame:
+    def contributions(self, nonzero: bool = False) -> DataFrame:
+        """Per matched (topic, term, document) weight ``w``.
+
+        With ``nonzero`` the (topic, term) pairs whose factor is exactly 0 -
+        a term in every topic of the batch, or in every document - are
+        dropped on the small side before the fan-out: they add nothing to
+        any score, and doubling them in feedback changes nothing. Rankings
+        use this; the sparse score outputs keep every matched pair."""
         factors = S.vsm_factors(self.qstats(), self.n_docs, self.n_topics)
+        if nonzero:
+            factors = factors.where(F.col("f") != 0)
         return S.contributions(self.matches(factors))
 
     def scores(self, contrib: DataFrame | None = None, fill: DataFrame | None = None) -> DataFrame:
@@ -82,7 +91,7 @@ class Search:
         return S.feedback_terms(contrib, fb_docs, fb_rows)
 
     def run(self, k: int = W.DEFAULT_TOP_K, feedback: bool = False) -> DataFrame:
-        contrib = self.contributions()
+        contrib = self.contributions(nonzero=True)
         if not feedback:
             return self.rank(contrib, k)
         first = self.rank(contrib, W.FEEDBACK_DOCS)
@@ -109,5 +118,6 @@ def search_legacy(source: Index | DataFrame, topics: TopicBatch, k: int = W.DEFA
     """Legacy ranking (J11): un-normalised sum of qtf * tf * idf^2, unigram
     idf truncated, 0.8 / 0.2 mix, zero fill, top ``k``."""
     s = Search(source, topics, profile)
-    contrib = S.contributions(s.matches(S.legacy_factors(s.qstats(), s.n_docs)))
-    return s.rank(contrib, k, S.sum_scores)
+    # terms with df > N/2 have a truncated unigram idf of 0 and add nothing
+    factors = S.legacy_factors(s.qstats(), s.n_docs).where(F.col("f") != 0)
+    return s.rank(S.contributions(s.matches(factors)), k, S.sum_scores)
