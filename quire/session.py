@@ -6,7 +6,9 @@ helpers only fill in what is unset (local runs, tests, bench).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,8 +46,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a scratch folder
-    created; a cluster must name a shared, fault-tolerant location.
+    A cluster must name one (a shared, fault-tolerant location); without it
+    this raises. Only a single-process local session that names none gets a
+    scratch folder of its own, removed when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -55,7 +58,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local

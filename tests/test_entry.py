@@ -18,7 +18,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.QUERIES) == set(E.ORACLES)
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +35,7 @@ def _norm(cols, rows):
                   key=repr)
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     res = con.execute(E.oracle_sql()[key])
