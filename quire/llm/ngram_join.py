@@ -38,6 +38,7 @@ from quire.llm.textbytes import U64, chunks, list_column, mix, mix_int, shingles
 
 BAND_GROWTH = 1.5           # sizes of a band: up to 1.5 times its smallest
 EXPECTED_BAND = 1_000_000   # documents of a band the cost model expects
+SPARE = 0.15                # units beyond those owed, so that accidental segments can be skipped
 SHARED = 0.05               # share of a set's elements it expects unrelated sets to share
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>"
 
@@ -56,19 +57,14 @@ def band_starts(num: int, den: int, top: int) -> tuple[int, ...]:
 def allocation(units: int, size: int) -> int:
     """Number of one-deletion segments (two units each) for a band with
     ``units`` units and sets of about ``size`` elements: the cheapest by rows
-    indexed plus partners that agree by accident."""
-    def missed(share: float) -> float:
-        return (1 - share * (1 - SHARED)) ** (2 * size)
-
+    indexed plus partners that agree on a segment by accident."""
     def cost(pairs: int) -> float:
-        exact, wide = units - 2 * pairs, 2 / units
-        equal = missed(1 / units)
-        close = missed(wide) * (1 + 2 * size * wide / max(1e-9, 1 - wide)) if wide < 1 else 0.0
-        rows = exact + pairs + size * pairs * wide
-        return rows + EXPECTED_BAND * (exact * equal + pairs * close)
+        exact, each = units - 2 * pairs, size / units
+        rows = exact + pairs * (1 + 2 * each)
+        close = 2 * each * SHARED ** max(0.0, 2 * each - 1)
+        return rows + EXPECTED_BAND * (exact * SHARED ** each + pairs * close)
 
-    grid = sorted({0, units // 2, *(2 ** i for i in range(units.bit_length()) if 2 ** i <= units // 2)})
-    return min(grid, key=cost)
+    return min(sorted({0, units // 2, *(2 ** i for i in range(units.bit_length()) if 2 ** i <= units // 2)}), key=cost)
 
 
 def _keys(elems: np.ndarray, tagged: np.ndarray, band: int, units: int, pairs: int, owed: int) -> np.ndarray:
@@ -113,6 +109,7 @@ def set_keys(elems: np.ndarray, num: int, den: int) -> np.ndarray:
         if b > band and largest < starts[b]:
             continue
         units = 2 * top * (den - num) // (den + num) + 1
+        units += int(units * SPARE) + 1
         owed = (n + largest) * (den - num) // (den + num) + 1
         out.append(_keys(elems, tagged, b, units, allocation(units, (starts[b] + top) // 2), owed))
     return np.unique(np.concatenate(out))
