@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm.ngram_join import ngram_components
+from quire.llm.packing import packed_pieces
 from quire.llm.scratch import Scratch
 from quire.sources.tables import table
 
@@ -16,8 +17,16 @@ def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_components(table(spark, sf, "documents"), Scratch(spark, "op1"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every token piece of every document with its sequence and offset."""
+    import public_tokenizers
+
+    return packed_pieces(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), Scratch(spark, "op3"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op3_best_fit_packing": op3_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}
