@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm.mixing import taken_words
 from quire.llm.ngram_join import ngram_components
 from quire.llm.packing import packed_pieces
 from quire.llm.scratch import Scratch
@@ -24,9 +25,15 @@ def op3_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed_pieces(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), Scratch(spark, "op3"))
 
 
+def op5_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """How much of every document the mix of all sources takes."""
+    return taken_words(table(spark, sf, "documents", ["doc_id", "text", "source"]), Scratch(spark, "op5"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_source_mixing": op5_source_mixing,
 }
 
 ORACLES: dict[str, str] = {}
