@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quire.llm.embedding_dedup import embedding_links
+from quire.llm.langid import identify
 from quire.llm.mixing import taken_words
 from quire.llm.ngram_join import ngram_components
 from quire.llm.packing import packed_pieces
@@ -30,10 +33,24 @@ def op5_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return taken_words(table(spark, sf, "documents", ["doc_id", "text", "source"]), Scratch(spark, "op5"))
 
 
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Predicted language of every document; rows with remainder 2 are held out."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = table(spark, sf, "documents", ["doc_id", "text", "lang"])
+    return identify(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Links, components and kept vectors of all embeddings, within labels."""
+    return embedding_links(table(spark, sf, "embeddings", ["vec_id", "embedding", "label"]), Scratch(spark, "op10"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_source_mixing": op5_source_mixing,
+    "op7_language_id": op7_language_id,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLES: dict[str, str] = {}
