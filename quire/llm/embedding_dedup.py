@@ -6,7 +6,7 @@ list exactly if they share two of their first pivots; a pair that shares more
 is counted in the list of its two smallest shared pivots. Meeting vectors are
 compared by cosine in double precision.
 
-The pivots are a bounded sample of the vectors (``PIVOTS``, smallest hashes);
+The pivots are a bounded sample of the vectors (``PIVOTS``, spread apart);
 every vector is indexed. Lists are cut into blocks of bounded size and blocks
 are compared pair by pair inside tasks, which return counts and stars, never
 the pairs: a list with a third of all vectors becomes many small tasks.
@@ -32,6 +32,7 @@ from quire.llm.graph import components
 from quire.llm.scratch import Scratch
 
 PIVOTS = 128          # reference points, a sample of the vectors
+APART = 0.7           # most cosine of two pivots
 FIRST = 4             # pivots of a vector's description that are indexed
 BLOCK = 128           # vectors of a list that meet another block in one task
 PAIRS = list(combinations(range(FIRST), 2))
@@ -52,12 +53,21 @@ def _unit(column: pa.Array) -> np.ndarray:
 
 
 def reference_points(rows: DataFrame, n: int = PIVOTS) -> dict[int, np.ndarray]:
-    """Pivots per vector length: the sampled vectors, unit length."""
-    sample = rows.orderBy(F.xxhash64("row"), "row").limit(n).select("embedding").collect()
+    """Pivots per vector length: ``n`` unit vectors of a sample of ``8 n``, each
+    with a cosine under ``APART`` to those before (a dense group would else
+    give pivots whose order is chance)."""
+    sample = rows.orderBy(F.xxhash64("row"), "row").limit(8 * n).select("embedding").collect()
     by_dim: dict[int, list] = {}
     for r in sample:
         by_dim.setdefault(len(r[0]), []).append(r[0])
-    return {d: _unit(pa.array(v)) for d, v in by_dim.items()}
+    out = {}
+    for dim, vectors in by_dim.items():
+        chosen: list[np.ndarray] = []
+        for x in _unit(pa.array(vectors)):
+            if len(chosen) < n and (not chosen or (np.array(chosen) @ x).max() < APART):
+                chosen.append(x)
+        out[dim] = np.array(chosen)
+    return out
 
 
 def _points(known: dict[int, np.ndarray], dim: int) -> np.ndarray:

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from quire.llm.embedding_dedup import embedding_links
 from quire.llm.langid import identify
+from quire.llm.line_dedup import removed_lines
 from quire.llm.mixing import taken_words
 from quire.llm.ngram_join import ngram_components
 from quire.llm.packing import packed_pieces
+from quire.llm.quality import quality
 from quire.llm.scratch import Scratch
 from quire.sources.tables import table
 
@@ -40,6 +42,17 @@ def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identify(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts and verdict of the quality rules for every document."""
+    return quality(table(spark, sf, "documents", ["doc_id", "text", "source"]), Scratch(spark, "op6"))
+
+
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of every document that an earlier near or equal line makes redundant."""
+    docs = table(spark, sf, "documents").select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
+    return removed_lines(docs, Scratch(spark, "op8")).select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed")
+
+
 def op10_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Links, components and kept vectors of all embeddings, within labels."""
     return embedding_links(table(spark, sf, "embeddings", ["vec_id", "embedding", "label"]), Scratch(spark, "op10"))
@@ -49,7 +62,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_source_mixing": op5_source_mixing,
+    "op6_quality_rules": op6_quality_rules,
     "op7_language_id": op7_language_id,
+    "op8_line_dedup": op8_line_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
