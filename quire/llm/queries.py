@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quire.llm.embedding_dedup import embedding_links
 from quire.llm.langid import identify
 from quire.llm.line_dedup import removed_lines
+from quire.llm.lm_score import score_texts
 from quire.llm.mixing import taken_words
 from quire.llm.ngram_join import ngram_components
 from quire.llm.packing import packed_pieces
@@ -30,6 +31,15 @@ def op3_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed_pieces(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), Scratch(spark, "op3"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """Backoff-automaton scores of every document; rows with remainder 1 are
+    held out from learning."""
+    rest = F.crc32(F.col("doc_id").cast("string")) % 5
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("long"), F.coalesce(rest == 1, F.lit(False)).alias("held_out"),
+                                                F.coalesce(rest != 1, F.lit(False)).alias("learn"), "text")
+    return score_texts(docs, Scratch(spark, "op4"))
+
+
 def op5_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """How much of every document the mix of all sources takes."""
     return taken_words(table(spark, sf, "documents", ["doc_id", "text", "source"]), Scratch(spark, "op5"))
@@ -61,6 +71,7 @@ def op10_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_source_mixing": op5_source_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op7_language_id": op7_language_id,
