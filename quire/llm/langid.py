@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.llm.textbytes import chunks
 
@@ -126,9 +127,9 @@ def train(docs: DataFrame, learn: Column, per_language: int = TRAIN_PER_LANGUAGE
     return languages, np.ascontiguousarray(logs.T.astype(np.float32))
 
 
-def predict(docs: DataFrame, languages: list[str], logs: np.ndarray) -> DataFrame:
-    """Adds ``lang_pred, score`` to ``docs``, which has ``text`` and any other
-    columns. ``score`` is the winner's share of the languages' likelihoods per
+def predict(docs: DataFrame, languages: list[str], logs: np.ndarray, added: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Adds ``lang_pred, score`` (or as ``added`` names them) to ``docs``, which
+    has ``text`` and any other columns. ``score`` is the winner's share of the languages' likelihoods per
     n-gram."""
     model = docs.sparkSession.sparkContext.broadcast((languages, logs))
     names = docs.columns
@@ -150,10 +151,10 @@ def predict(docs: DataFrame, languages: list[str], logs: np.ndarray) -> DataFram
             known = grams_of > 0
             pred = [langs[b] if k else UNDETERMINED for b, k in zip(best.tolist(), known.tolist())]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0))],
-                                             names=[*names, "lang_pred", "score"])
+                                             names=[*names, *added])
 
-    schema = docs.schema.simpleString()[len("struct<"):-1]
-    return docs.mapInArrow(run, f"{schema},lang_pred:string,score:double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(added[0], T.StringType()), T.StructField(added[1], T.DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, learn: Column) -> DataFrame:

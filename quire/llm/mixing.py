@@ -34,10 +34,11 @@ SLOT_BITS = 14                # slots are ranked in runs of 2**14
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """``doc_id, src, size, h1, h2``: ``src`` orders sources by code point,
+    """``row, doc_id, src, size, h1, h2``: ``src`` orders sources by code point,
     null last; the hashes give the shuffled order."""
     src = F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"), F.coalesce(F.col("source"), F.lit("")))
-    return docs.select(F.col("doc_id").cast("long"), src.alias("src"),
+    row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id().alias("row")
+    return docs.select(row, F.col("doc_id").cast("long"), src.alias("src"),
                        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                        F.xxhash64("doc_id", F.length("text")).alias("h1"), F.xxhash64("text", "doc_id").alias("h2"))
 
@@ -96,7 +97,7 @@ def schedule(goals: DataFrame, spark, scratch: Scratch) -> DataFrame:
 def placed_rows(rows: DataFrame) -> DataFrame:
     """Adds ``start``: a document's first word in its source's stream."""
     dealt = rows.withColumn("bucket", F.shiftright("h1", 64 - STREAM_BITS))
-    return with_start(dealt, ["src"], "bucket", ["h1", "h2", "doc_id"], "size", "start").select("src", "start", "doc_id", "size")
+    return with_start(dealt, ["src"], "bucket", ["h1", "h2", "doc_id"], "size", "start").select("row", "src", "start", "doc_id", "size")
 
 
 def streams(rows: DataFrame, goals: DataFrame) -> DataFrame:
@@ -123,10 +124,10 @@ def mix(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFr
 
 
 def taken_words(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for every document."""
+    """``row, doc_id, size, source_size, target, taken`` for every document."""
     rows, goals, mixed = mix(docs, scratch)
     got = mixed.groupBy("src", "start").agg(F.sum("words").alias("taken"))
     with_words = rows.where("size > 0").join(got, ["src", "start"], "left")
     empty = rows.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return (with_words.unionByName(empty, allowMissingColumns=True).join(goals.select("src", "source_size", "target"), "src")
-                      .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))
+                      .select("row", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))

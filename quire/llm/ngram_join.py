@@ -40,7 +40,7 @@ BAND_GROWTH = 1.5           # sizes of a band: up to 1.5 times its smallest
 EXPECTED_BAND = 1_000_000   # documents of a band the cost model expects
 SPARE = 0.15                # units beyond those owed, so that accidental segments can be skipped
 SHARED = 0.05               # share of a set's elements it expects unrelated sets to share
-SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>"
+SIGNED = "row long, doc_id long, n_shingles long, set_a long, set_b long, keys array<long>"
 
 
 @lru_cache(maxsize=None)
@@ -130,9 +130,10 @@ def sign(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
             prints = [blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             ab = np.frombuffer(b"".join(prints), dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ab[:, 0]), pa.array(ab[:, 1]),
-                 list_column([set_keys(s, num, den) for s in sets])], names=["doc_id", "n_shingles", "set_a", "set_b", "keys"])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SIGNED)
+                [rows.column("row"), rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ab[:, 0]), pa.array(ab[:, 1]),
+                 list_column([set_keys(s, num, den) for s in sets])], names=["row", "doc_id", "n_shingles", "set_a", "set_b", "keys"])
+    row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id().alias("row")
+    return docs.select(row, F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SIGNED)
 
 
 def sets_of(docs: DataFrame, k: int) -> DataFrame:
@@ -145,8 +146,8 @@ def sets_of(docs: DataFrame, k: int) -> DataFrame:
 
 
 def ngram_components(docs: DataFrame, scratch: Scratch, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row of ``docs`` (``doc_id,
-    text``): components of the documents whose ``k``-word shingle sets have
+    """``row, doc_id, n_shingles, component_id`` per row of ``docs`` (``doc_id,
+    text``, and ``row`` if the caller has numbered its rows): components of the documents whose ``k``-word shingle sets have
     Jaccard >= num/den; ``component_id`` is the smallest ``doc_id``."""
     signed = scratch.keep(sign(docs, k, num, den), "signed")
     known = signed.where("doc_id is not null and n_shingles > 0")
@@ -161,7 +162,7 @@ def ngram_components(docs: DataFrame, scratch: Scratch, k: int = 4, num: int = 8
     roots = components(bucket_links(rows, sets, num, den, scratch), scratch)
     roots = scratch.keep(classes.select("set_a", "set_b", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
                          .select("set_a", "set_b", F.coalesce("root", "rep").alias("root")), "class-roots")
-    return (signed.select("doc_id", "n_shingles", "set_a", "set_b").join(roots, ["set_a", "set_b"], "left")
-                  .select("doc_id", "n_shingles",
+    return (signed.select("row", "doc_id", "n_shingles", "set_a", "set_b").join(roots, ["set_a", "set_b"], "left")
+                  .select("row", "doc_id", "n_shingles",
                           F.when(F.col("doc_id").isNotNull(),
                                  F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.col("doc_id"))).alias("component_id")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +15,24 @@ from quire.llm.lm_score import score_texts
 from quire.llm.mixing import taken_words
 from quire.llm.ngram_join import ngram_components
 from quire.llm.packing import packed_pieces
+from quire.llm.passage_dedup import repeats
+from quire.llm.pii import replaced
 from quire.llm.quality import quality
 from quire.llm.scratch import Scratch
+from quire.llm.shipping import ship
 from quire.sources.tables import table
 
+PII_KEY = "not-a-secret"      # a deployment passes a key of its own
+
 
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have Jaccard >= 0.85."""
-    return ngram_components(table(spark, sf, "documents"), Scratch(spark, "op1"))
+    return ngram_components(table(spark, sf, "documents"), Scratch(spark, "op1")).drop("row")
+
+
+def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages of 50 words or more that repeat across documents."""
+    return repeats(table(spark, sf, "documents"), Scratch(spark, "op2"))
 
 
 def op3_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,7 +53,7 @@ def op4_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
 
 def op5_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """How much of every document the mix of all sources takes."""
-    return taken_words(table(spark, sf, "documents", ["doc_id", "text", "source"]), Scratch(spark, "op5"))
+    return taken_words(table(spark, sf, "documents", ["doc_id", "text", "source"]), Scratch(spark, "op5")).drop("row")
 
 
 def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
@@ -63,20 +74,35 @@ def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return removed_lines(docs, Scratch(spark, "op8")).select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed")
 
 
+def op9_pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its personal data replaced by keyed surrogates."""
+    return replaced(table(spark, sf, "documents"), PII_KEY, Scratch(spark, "op9"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Links, components and kept vectors of all embeddings, within labels."""
     return embedding_links(table(spark, sf, "embeddings", ["vec_id", "embedding", "label"]), Scratch(spark, "op10"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_ngram_join": op1_ngram_join,
-    "op3_best_fit_packing": op3_best_fit_packing,
-    "op4_lm_scoring": op4_lm_scoring,
-    "op5_source_mixing": op5_source_mixing,
-    "op6_quality_rules": op6_quality_rules,
-    "op7_language_id": op7_language_id,
-    "op8_line_dedup": op8_line_dedup,
-    "op10_embedding_dedup": op10_embedding_dedup,
-}
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf)
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _shipped(q) for q in (
+    op1_ngram_join,
+    op2_substring_dedup,
+    op3_best_fit_packing,
+    op4_lm_scoring,
+    op5_source_mixing,
+    op6_quality_rules,
+    op7_language_id,
+    op8_line_dedup,
+    op9_pii_surrogates,
+    op10_embedding_dedup,
+)}
 
 ORACLES: dict[str, str] = {}
