@@ -5,8 +5,10 @@ Input: buckets (key, id) and sets (id, sorted distinct elements). Wanted:
 links (a, b) with Jaccard >= num/den whose components equal those of all such
 pairs within buckets.
 
-1. Every bucket gets a pivot, its member with most bucket mates, and every
-   member is verified against the pivots of its buckets only.
+1. Every bucket gets a pivot and every member is verified against the pivots
+   of its buckets only. A member with most bucket mates is the candidate of
+   its buckets; a bucket takes the best candidate that any of its members has,
+   so the buckets around one text agree on one pivot near its middle.
 2. Two members linked with the pivot are in one component already. A pair
    that still matters has a member x that is not linked with the pivot p, an
    outlier. With Dx the elements in which x and p differ, x and y differ in
@@ -45,9 +47,12 @@ def pivots(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """``p, x``: every member with the pivots of its buckets."""
     sizes = scratch.keep(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
     degrees = scratch.keep(rows.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("degree")), "degrees")
-    chosen = scratch.keep(rows.join(degrees, "id").groupBy("key")
-                          .agg(F.max(F.struct("degree", (-F.col("id")).alias("neg"))).alias("top"))
-                          .select("key", (-F.col("top.neg")).alias("p")), "pivots")
+    own = degrees.select("id", F.struct("degree", F.col("id").alias("p")).alias("top"))
+    for name in ("bucket", "widened"):
+        best = scratch.keep(rows.join(own, "id").groupBy("key").agg(F.max("top").alias("top")), name)
+        if name == "bucket":
+            own = scratch.keep(rows.join(best, "key").groupBy("id").agg(F.max("top").alias("top")), "member")
+    chosen = best.select("key", F.col("top.p").alias("p"))
     return rows.join(chosen, "key").where(F.col("id") != F.col("p")).select("p", F.col("id").alias("x")).distinct()
 
 
