@@ -153,13 +153,21 @@ def ngram_components(docs: DataFrame, scratch: Scratch, k: int = 4, num: int = 8
     known = signed.where("doc_id is not null and n_shingles > 0")
     classes = known.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.min_by("keys", "doc_id").alias("keys"))
     classes = scratch.keep(classes, "classes")
+    slim = scratch.keep(signed.select("row", "doc_id", "n_shingles", "set_a", "set_b"), "rows")
+    scratch.drop(signed)
+    signed, known = slim, slim.where("doc_id is not null and n_shingles > 0")
     rows = scratch.keep(shared_buckets(classes.select(F.explode("keys").alias("key"), F.col("rep").alias("id"))), "buckets")
+    slim = scratch.keep(classes.select("set_a", "set_b", "rep"), "reps")
+    scratch.drop(classes)
+    classes = slim
     ids = scratch.keep(rows.select("id").distinct(), "ids")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
     found = sets_of(texts.join(ids, "id", "left_semi"), k).where(F.size("elems") > 0)
     repeated = not known.groupBy("doc_id").count().where("count > 1").isEmpty()
     sets = scratch.keep(found.distinct() if repeated else found, "sets")
-    roots = components(bucket_links(rows, sets, num, den, scratch), scratch)
+    links = scratch.keep(bucket_links(rows, sets, num, den, scratch), "all-links")
+    scratch.drop(rows, ids, sets)
+    roots = components(links, scratch)
     roots = scratch.keep(classes.select("set_a", "set_b", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
                          .select("set_a", "set_b", F.coalesce("root", "rep").alias("root")), "class-roots")
     return (signed.select("row", "doc_id", "n_shingles", "set_a", "set_b").join(roots, ["set_a", "set_b"], "left")

@@ -32,10 +32,18 @@ class Scratch:
         self._paths[id(out)] = path
         return out
 
+    def release(self) -> None:
+        """Delete all tables of this run, once its result is written."""
+        self._delete(self.root)
+        self._paths.clear()
+
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that no later step and no result reads."""
         for table in tables:
             path = self._paths.pop(id(table), None)
             if path:
-                p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+                self._delete(path)
