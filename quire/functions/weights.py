@@ -31,6 +31,11 @@ def _d(x) -> Column:
     return (x if isinstance(x, Column) else F.lit(x)).cast("double")
 
 
+def integer_div(a: Column, b: Column) -> Column:
+    """Integer division of non-negative whole numbers; NULL by 0."""
+    return F.try_divide(a - F.try_mod(a, b), b).cast("long")
+
+
 def idf(n_docs, df) -> Column:
     """log2(N / df) in doubles (W1); NULL when df is 0."""
     return F.log2(F.try_divide(_d(n_docs), _d(df)))
@@ -38,9 +43,7 @@ def idf(n_docs, df) -> Column:
 
 def idf_truncated(n_docs, df) -> Column:
     """log2 of the integer quotient N div df (W2): 0 once df > N / 2."""
-    # floor division of non-negative counts; NULL when df is 0
-    q = F.when(_c(df) > 0, F.floor(F.try_divide(_c(n_docs).cast("long"), _c(df).cast("long"))))
-    return F.log2(q.cast("double"))
+    return F.log2(integer_div(_c(n_docs).cast("long"), _c(df).cast("long")).cast("double"))
 
 
 def tfidf(tf, idf_col) -> Column:

@@ -1,40 +1,44 @@
-"""Size-checked broadcast.
+"""Broadcasts of bounded size.
 
-A side is broadcast only when its row count is proven under a bound; the
-bound is either counted on a small input (topics) or derived from one
-(a table that cannot have more rows than an already counted one). Above
-the bound the join stays a shuffle join and AQE (skew join on) plans it.
+A side is broadcast only in slices whose size is measured: its rows are
+counted and weighed, dealt by key over as many slices as the bound asks for,
+and each slice is broadcast on its own. The plan has one shape at every size;
+only the number of slices follows the data.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.session import max_broadcast_rows
+from quire.session import max_broadcast_bytes
+
+ROW_BYTES = 96        # of a broadcast row besides its strings
+
 
+def weight(df: DataFrame, strings: list[str]) -> int:
+    """Bytes that the rows of ``df`` take in a broadcast, about."""
+    size = F.lit(ROW_BYTES).cast("long")
+    for c in strings:
+        size = size + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    return int(df.agg(F.sum(size)).first()[0] or 0)
 
-def count_upto(df: DataFrame, bound: int) -> int:
-    """Exact row count if it is <= bound, else bound + 1 (bounded work)."""
-    return df.limit(bound + 1).count()
 
+def n_slices(df: DataFrame, strings: list[str]) -> int:
+    """Slices that ``df`` needs so that each stays within the broadcast bound."""
+    return max(1, -(-weight(df, strings) // max_broadcast_bytes(df.sparkSession)))
 
-def broadcast_if(df: DataFrame, proven_rows: int | None) -> DataFrame:
-    """Broadcast ``df`` if ``proven_rows`` (an upper bound on its size) fits."""
-    limit = max_broadcast_rows(df.sparkSession)
-    if proven_rows is not None and proven_rows <= limit:
-        return F.broadcast(df)
-    return df
 
+def slices(df: DataFrame, keys: list[str], n: int) -> list[DataFrame]:
+    """``df`` dealt by key over ``n`` slices, each marked for broadcast."""
+    if n == 1:
+        return [F.broadcast(df)]
+    at = F.pmod(F.xxhash64(*keys), F.lit(n))
+    return [F.broadcast(df.where(at == i)) for i in range(n)]
 
-def checked_broadcast(df: DataFrame) -> tuple[DataFrame, int | None]:
-    """Count ``df`` up to the bound; broadcast it when it fits.
 
-    Returns the (possibly hinted) frame and the proven row count, or None
-    when the frame is over the bound.
-    """
-    limit = max_broadcast_rows(df.sparkSession)
-    n = count_upto(df, limit)
-    if n <= limit:
-        return F.broadcast(df), n
-    return df, None
+def sliced_join(big: DataFrame, small: DataFrame, keys: list[str], n: int, how: str = "inner") -> DataFrame:
+    """``big`` joined (inner or left_semi) with every broadcast slice of ``small``."""
+    return reduce(DataFrame.unionByName, [big.join(part, keys, how) for part in slices(small, keys, n)])

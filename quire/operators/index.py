@@ -24,17 +24,19 @@ markers never match; public accessors filter them out.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import weights as W
 from quire.functions.text import Profile, profile_named
-from quire.operators.bounded import broadcast_if
+from quire.operators.bounded import n_slices, sliced_join, slices
 from quire.session import ensure_checkpoint_dir
 
 TERM_KEYS = ["n", "t1", "t2"]
 MARKER_N = 0
+HOT_TERMS = 4096  # most frequent terms, joined by broadcast
 
 
 def long_col(df: DataFrame, col: str, name: str):
@@ -112,38 +114,46 @@ class Index:
     markers: bool = True
     stats: tuple[int, int] | None = None  # (n_docs, total_length) when known
     _terms_all: DataFrame | None = field(default=None, repr=False)
+    lengths: DataFrame | None = field(default=None, repr=False)  # doc_id, dl straight from the texts
+    part: bool = False  # holds the postings of some terms only
 
     # ---- construction -------------------------------------------------
     @classmethod
     def from_documents(cls, docs: DataFrame, profile: Profile | str = "word",
                        orders: tuple[int, ...] = (1, 2), id_col: str = "doc_id",
-                       text_col: str = "text", restrict_to: DataFrame | None = None,
-                       restrict_rows: int | None = None) -> "Index":
+                       text_col: str = "text", restrict_to: DataFrame | None = None) -> "Index":
         """Tokenize ``docs`` (one pass) and aggregate postings.
 
-        ``restrict_to`` (``n, t1, t2`` rows, at most ``restrict_rows``) keeps
-        only grams of those terms (and the length markers) *before* the
-        postings shuffle: a search needs nothing else.
+        ``restrict_to`` (``n, t1, t2`` rows) keeps only grams of those terms
+        and the length markers: a search needs nothing else. Texts are then
+        tokenized where they are read, filtered against broadcast slices of
+        the terms, and only the surviving grams are dealt out by document.
         """
         profile = profile_named(profile)
-        # Documents are spread by id before tokenizing: tokenizing runs on
+        listed = docs.select(long_col(docs, id_col, "doc_id"))
+        read = docs.select(long_col(docs, id_col, "doc_id"), F.col(text_col).alias("text"))
+        lengths = document_sequences(read, profile, "doc_id", "text").select("doc_id", "dl")
+        if restrict_to is not None:
+            seqs = document_sequences(read, profile, "doc_id", "text")
+            keep = restrict_to.select(*TERM_KEYS).distinct()
+            parts = []
+            for i, part in enumerate(slices(keep, TERM_KEYS, n_slices(keep, ["t1", "t2"]))):
+                # the markers pass by the join, with the first slice only
+                grams = explode_grams(seqs, profile, ["doc_id", "dl"], orders, marker=i == 0)
+                flagged = grams.join(part.withColumn("_kept", F.lit(True)), TERM_KEYS, "left")
+                parts.append(flagged.where(F.col("_kept") | (F.col("n") == MARKER_N)).drop("_kept"))
+            grams = reduce(DataFrame.unionByName, parts).repartition("doc_id")
+            return cls(postings_from_grams(grams), listed, profile, True, True, lengths=lengths)
+        # Full build: documents are spread by id before tokenizing: it runs on
         # every core whatever the input's file/row-group layout, and all
         # grams of a document stay in one partition, so the postings
         # aggregate, the broadcast match join and the per-(topic, document)
         # score aggregate all run without another shuffle. The shuffled
         # volume is the raw text, which is smaller than its exploded grams.
-        spread = docs.select(long_col(docs, id_col, "doc_id"), F.col(text_col).alias("text")) \
-                     .repartition("doc_id")
+        spread = read.repartition("doc_id")
         seqs = document_sequences(spread, profile, "doc_id", "text")
         grams = explode_grams(seqs, profile, ["doc_id", "dl"], orders, marker=True)
-        if restrict_to is not None:
-            spark = docs.sparkSession
-            marker = spark.createDataFrame([(MARKER_N, "", "")], "n int, t1 string, t2 string")
-            keep = restrict_to.select(*TERM_KEYS).distinct().unionByName(marker)
-            rows = None if restrict_rows is None else restrict_rows + 1
-            grams = grams.join(broadcast_if(keep, rows), TERM_KEYS, "left_semi")
-        listed = docs.select(long_col(docs, id_col, "doc_id"))
-        return cls(postings_from_grams(grams), listed, profile, True, True)
+        return cls(postings_from_grams(grams), listed, profile, True, True, lengths=lengths)
 
     @classmethod
     def from_postings(cls, postings: DataFrame, listed_docs: DataFrame) -> "Index":
@@ -151,23 +161,31 @@ class Index:
         listed documents ``(doc_id)``. Postings of unlisted documents count
         in df and in the average length but are never ranked."""
         posted = lengths_from_postings(postings)
+        terms = None
+        if "df" in postings.columns:
+            # the header's count is the model's df, whatever was read for it
+            terms = postings.groupBy(*TERM_KEYS).agg(F.max("df").cast("long").alias("df"), F.sum("tf").cast("long").alias("cf"),
+                                                     F.lit(None).cast("long").alias("sum_dl"))
         with_dl = (postings.join(posted, "doc_id", "left")
                    .select(*TERM_KEYS, F.col("doc_id").cast("long"), F.col("tf").cast("long"),
                            F.coalesce("dl", F.lit(0)).cast("long").alias("dl")))
         listed = listed_docs.select(F.col("doc_id").cast("long"))
-        return cls(with_dl, listed, None, False, False)
+        return cls(with_dl, listed, None, False, False, None, terms)
 
     # ---- persisted form ------------------------------------------------
     def save(self, path: str, mode: str = "errorifexists") -> None:
-        """Write postings (partitioned by gram order, clustered by term so
-        Parquet row-group statistics prune term lookups), terms, the listed
-        documents and the two corpus scalars."""
-        (self.postings.repartition("n", "t1").sortWithinPartitions(*TERM_KEYS, "doc_id")
+        """Write postings (partitioned by gram order, range-clustered by term
+        so Parquet row-group statistics prune term lookups and a hot term
+        spreads over files), then terms and the corpus scalars derived from
+        the written files, and the listed documents."""
+        spark = self.postings_all.sparkSession
+        (self.postings_all.repartitionByRange(*TERM_KEYS, "doc_id").sortWithinPartitions(*TERM_KEYS, "doc_id")
              .write.mode(mode).partitionBy("n").parquet(f"{path}/postings"))
-        self.terms.write.mode(mode).partitionBy("n").parquet(f"{path}/terms")
+        written = replace(self, postings_all=spark.read.parquet(f"{path}/postings").select(*TERM_KEYS, "doc_id", "tf", "dl"),
+                          _terms_all=None if self.markers else self._terms_all, lengths=None)
+        written.terms.write.mode(mode).partitionBy("n").parquet(f"{path}/terms")
         self.listed.write.mode(mode).parquet(f"{path}/listed")
-        spark = self.postings_all.sparkSession
-        n_docs, total = self.collect_stats()
+        n_docs, total = written.collect_stats()
         spark.createDataFrame(
             [(self.listed_only, self.profile.name if self.profile else None, n_docs, total)],
             "listed_only boolean, profile string, n_docs long, total_length long",
@@ -183,7 +201,7 @@ class Index:
     @classmethod
     def load(cls, spark, path: str) -> "Index":
         meta = spark.read.parquet(f"{path}/meta").first()
-        postings = spark.read.parquet(f"{path}/postings").select(*TERM_KEYS, "doc_id", "tf", "dl")
+        postings = spark.read.parquet(f"{path}/postings").select(*TERM_KEYS, "doc_id", "tf", "dl").where(F.col("n") > MARKER_N)
         terms = spark.read.parquet(f"{path}/terms").select(*TERM_KEYS, "df", "cf", "sum_dl")
         prof = profile_named(meta["profile"]) if meta["profile"] else None
         return cls(postings, spark.read.parquet(f"{path}/listed"), prof, bool(meta["listed_only"]),
@@ -195,12 +213,10 @@ class Index:
 
         Everything derived from them - df, the total length, the match
         join of both feedback passes - then reads those files instead of
-        tokenizing the documents again. Each document's postings sit in one
-        partition, so per-(topic, document) sums are complete after the
-        map-side partial aggregate and only final pairs are shuffled."""
+        tokenizing the documents again."""
         ensure_checkpoint_dir(self.postings_all.sparkSession)
         postings = self.postings_all.checkpoint(eager=True)
-        return replace(self, postings_all=postings, _terms_all=None)
+        return replace(self, postings_all=postings, _terms_all=self._terms_all if not self.markers else None)
 
     # ---- tables ---------------------------------------------------------
     @property
@@ -222,6 +238,10 @@ class Index:
     @property
     def doc_lengths(self) -> DataFrame:
         """Every listed document with its length (0 without unigrams)."""
+        if self.part:
+            raise ValueError("an index restricted to some terms does not know document lengths")
+        if self.lengths is not None:
+            return self.lengths
         if self.markers:
             return self.postings_all.where(F.col("n") == MARKER_N).select("doc_id", "dl")
         posted = lengths_from_postings(self.postings)
@@ -240,44 +260,54 @@ class Index:
         if self.stats is not None:
             return F.lit(self.stats[1]).cast("long")
         if self.markers:
-            return self.terms_all.select(
-                F.max(F.when(F.col("n") == MARKER_N, F.col("sum_dl"))).cast("long")).scalar()
+            return self.postings_all.where(F.col("n") == MARKER_N).select(F.sum("dl").cast("long")).scalar()
         return self.postings_all.select(
             F.sum(F.when(F.col("n") == 1, F.col("tf"))).cast("long")).scalar()
 
     def avgdl(self) -> Column:
         """Total length div listed documents (A5, integer division)."""
         n = self.n_docs()
-        return F.when(n > 0, F.floor(F.try_divide(F.coalesce(self.total_length(), F.lit(0)), n))) \
-                .cast("long")
+        return F.when(n > 0, W.integer_div(F.coalesce(self.total_length(), F.lit(0)), n)).cast("long")
 
     def corpus(self) -> DataFrame:
         """One row: ``n_docs`` (A6), ``total_length`` and ``avgdl`` (A5)."""
-        if self.markers:
+        if self.markers or self.lengths is not None:
             base = self.doc_lengths.agg(F.count(F.lit(1)).alias("n_docs"),
                                         F.coalesce(F.sum("dl"), F.lit(0)).cast("long").alias("total_length"))
         else:
             base = self.listed.agg(F.count(F.lit(1)).alias("n_docs")).select(
                 "n_docs", F.coalesce(self.total_length(), F.lit(0)).alias("total_length"))
         avg = F.when(F.col("n_docs") > 0,
-                     F.floor(F.try_divide(F.col("total_length"), F.col("n_docs")))).cast("long")
+                     W.integer_div(F.col("total_length"), F.col("n_docs"))).cast("long")
         return base.withColumn("avgdl", avg)
 
-    def restricted(self, terms: DataFrame, proven_rows: int | None) -> "Index":
-        """Postings and df of the given terms only (left-semi, broadcast);
-        corpus scalars are fixed first so they still cover everything."""
-        keep = broadcast_if(terms.select(*TERM_KEYS).distinct(), proven_rows)
+    def restricted(self, terms: DataFrame) -> "Index":
+        """Postings and df of the given terms only (left-semi against broadcast
+        slices), written once; corpus scalars are fixed first so they still
+        cover everything."""
+        keep = terms.select(*TERM_KEYS).distinct()
+        n = n_slices(keep, ["t1", "t2"])
         stats = self.stats
         if stats is None:
             stats = self.collect_stats()
-        postings = self.postings_all.join(keep, TERM_KEYS, "left_semi")
+        postings = sliced_join(self.postings_all, keep, TERM_KEYS, n, "left_semi")
+        df = sliced_join(self.terms_all, keep, TERM_KEYS, n, "left_semi")
         if not self.listed_only:
             # postings of unlisted documents count in df and in the average
             # length (both fixed above) but are never ranked; the document
             # list has no size bound, so this semi join is left to a shuffle
             postings = postings.join(self.listed, "doc_id", "left_semi")
-        return Index(postings, self.listed, self.profile, self.listed_only, False, stats,
-                     self.terms_all.join(keep, TERM_KEYS, "left_semi"))
+        return Index(postings, self.listed, self.profile, self.listed_only, False, stats, df, part=True).materialized()
+
+    def postings_with_df(self) -> DataFrame:
+        """Postings with their term's ``df``. The ``HOT_TERMS`` most frequent
+        terms are broadcast; a remaining key holds at most one in
+        ``HOT_TERMS`` of all postings, so no task of the join is hot."""
+        terms = self.terms.select(*TERM_KEYS, "df")
+        hot = F.broadcast(terms.orderBy(F.col("df").desc(), *TERM_KEYS).limit(HOT_TERMS))
+        marked = self.postings.join(hot.withColumnRenamed("df", "_df"), TERM_KEYS, "left")
+        cold = marked.where(F.col("_df").isNull()).drop("_df").join(terms, TERM_KEYS)
+        return marked.where(F.col("_df").isNotNull()).withColumnRenamed("_df", "df").unionByName(cold)
 
     # ---- per-document vectors -----------------------------------------
     def doc_norms(self, truncated: bool = True) -> DataFrame:
@@ -285,7 +315,7 @@ class Index:
         (A11): ``doc_id, n, l2``; 0 for documents without terms."""
         n_docs = self.n_docs()
         w = W.idf_truncated(n_docs, F.col("df")) if truncated else W.idf(n_docs, F.col("df"))
-        sq = (self.postings.join(self.terms.select(*TERM_KEYS, "df"), TERM_KEYS)
+        sq = (self.postings_with_df()
               .select("doc_id", "n", F.pow(W.tfidf(F.col("tf"), w), 2).alias("sq"))
               .groupBy("doc_id", "n").agg(F.sqrt(F.sum("sq")).alias("l2")))
         grid = self.listed.select("doc_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("n"))

@@ -2,23 +2,15 @@
 
 Every listed document has a score for every topic, 0 when nothing matches,
 and zeros may fill a topic's top k (ties broken by ascending doc_id). The
-matched scores are sparse; the zero documents are supplied without forming
-topics x documents:
+matched scores are sparse and are ranked first: documents are dealt out by
+id, so ``row_number() <= k`` keeps k rows per topic and partition before any
+(topic, document) row is shuffled. Zeros are added to that short list.
 
-* scores are >= 0 when every posted document is listed (df <= N), so an
-  unmatched document can only reach a topic's top k if fewer than k
-  documents precede it by id - i.e. it is among the first k documents by
-  id. Each topic therefore gets those k documents as zero-weight candidate
-  rows, fed into the same aggregate as its matches (a matched candidate
-  simply sums to its own score): at most one ranked list worth of extra
-  rows per topic, and no anti join or second pass over the scores.
-* when unlisted postings make df > N possible, negative scores rank below
-  every zero; the candidate window then widens by the largest number of
-  negative scores of any topic, which keeps the argument exact.
-
-``row_number() <= k`` lets Spark insert a partial WindowGroupLimit before
-the shuffle, so no task ever holds more than k rows of a topic per input
-partition, however many documents a hot topic matches.
+An unmatched document reaches a topic's top k only as one of the first k
+unmatched documents by id. They are looked for among the listed documents in
+id order, ``k`` at a time: documents that a topic matches (other than with 0)
+are taken out, and only topics that still lack zeros look further. With
+non-negative scores the first k documents always suffice.
 """
 
 from __future__ import annotations
@@ -26,6 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.session import ensure_checkpoint_dir
+from quire.sources.positional import ordered_ids
+
 
 def top_k(scores: DataFrame, k: int) -> DataFrame:
     """``row_number`` over (topic, score desc, doc_id asc) <= k."""
@@ -36,29 +31,45 @@ def top_k(scores: DataFrame, k: int) -> DataFrame:
 
 
 def first_docs(listed: DataFrame, width: int) -> DataFrame:
-    """The ``width`` smallest doc ids with their position ``slot`` (1-based).
+    """The ``width`` smallest doc ids with their position ``slot`` (0-based).
 
     A bounded top-``width`` (TakeOrderedAndProject), then numbering of those
     ``width`` rows only."""
     head = listed.select("doc_id").orderBy("doc_id").limit(width)
-    return head.withColumn("slot", F.row_number().over(Window.orderBy("doc_id")))
+    return head.withColumn("slot", F.row_number().over(Window.orderBy("doc_id")) - 1)
 
 
-def fill_candidates(topic_ids: DataFrame, listed: DataFrame, width: int) -> DataFrame:
-    """``topic_id, doc_id``: each topic with the first ``width`` listed
-    documents by id. Slot j of a topic joins the j-th document (an equi-join
-    on the slot number against a broadcast table of ``width`` rows)."""
-    slots = topic_ids.select("topic_id", F.explode(F.sequence(F.lit(1), F.lit(width))).alias("slot"))
-    # Partitioned like document-partitioned contributions, so the union
-    # feeding the score aggregate keeps their partitioning (no reshuffle).
-    return (slots.join(F.broadcast(first_docs(listed, width)), "slot")
-                 .select("topic_id", "doc_id").repartition("doc_id"))
+def _zeros(topic_ids: DataFrame, numbered: DataFrame, matched: DataFrame, lo: int, k: int) -> DataFrame:
+    """``topic_id, doc_id`` of the documents at slots ``lo .. lo + k - 1`` that a
+    topic does not match."""
+    slots = topic_ids.select("topic_id", F.explode(F.sequence(F.lit(lo), F.lit(lo + k - 1))).alias("slot"))
+    here = slots.join(numbered.where((F.col("slot") >= lo) & (F.col("slot") < lo + k)), "slot").select("topic_id", "doc_id")
+    return here.join(matched.where(F.col("score") != 0).select("topic_id", "doc_id"), ["topic_id", "doc_id"], "left_anti")
 
 
-def fill_width(scores: DataFrame, k: int, nonnegative: bool) -> int:
-    """How many leading documents zero fill must offer (see module doc)."""
+def ranked_with_zeros(scores: DataFrame, topic_ids: DataFrame, listed: DataFrame, k: int, nonnegative: bool) -> DataFrame:
+    """Top ``k`` of all listed documents per topic. ``scores`` holds the matched
+    pairs; ``nonnegative`` says that no score can be below 0."""
+    score = F.lit(0.0).alias("score")
     if nonnegative:
-        return k
-    neg = (scores.where(F.col("score") < 0).groupBy("topic_id")
-                 .agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0])
-    return k + int(neg or 0)
+        numbered = first_docs(listed, k)
+        # matches among the first k documents only
+        near = scores.join(F.broadcast(numbered.select("doc_id")), "doc_id", "left_semi")
+        zeros = _zeros(topic_ids, F.broadcast(numbered), near, 0, k).select("topic_id", "doc_id", score)
+    else:
+        ensure_checkpoint_dir(topic_ids.sparkSession)
+        numbered = ordered_ids(listed.select("doc_id"), ["doc_id"], "slot").checkpoint(eager=True)
+        scores = scores.checkpoint(eager=True)
+        n_docs, lo, open_topics, zeros = numbered.count(), 0, topic_ids, None
+        while lo < n_docs:
+            found = _zeros(open_topics, numbered, scores, lo, k).select("topic_id", "doc_id", score).checkpoint(eager=True)
+            zeros = found if zeros is None else zeros.unionByName(found)
+            filled = zeros.groupBy("topic_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select("topic_id")
+            open_topics = topic_ids.join(filled, "topic_id", "left_anti").checkpoint(eager=True)
+            lo += k
+            if open_topics.isEmpty():
+                break
+        if zeros is None:
+            return top_k(scores, k)
+    # a matched pair that scores exactly 0 also stands among the zeros
+    return top_k(top_k(scores.where(F.col("score") != 0), k).drop("rank").unionByName(zeros), k)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import weights as W
-from quire.operators.bounded import broadcast_if
+from quire.operators.bounded import n_slices, sliced_join
 from quire.operators.index import TERM_KEYS, Index
 
 
@@ -26,16 +26,16 @@ def query_stats(index: Index, qterms: DataFrame) -> DataFrame:
     return qterms.join(index.terms_all.select(*TERM_KEYS, "df"), TERM_KEYS)
 
 
-def match(index: Index, qstats: DataFrame, qstats_rows: int | None) -> DataFrame:
+def match(index: Index, qstats: DataFrame, n: int) -> DataFrame:
     """Topic terms meet postings on the term (J1): every column of
     ``qstats`` plus ``doc_id, tf, dl``.
 
-    ``qstats`` has at most ``qstats_rows`` rows (it cannot outgrow the
-    counted topic terms), which licenses broadcasting it into the postings
-    scan: the large side is never shuffled for the join, so a hot term's
-    postings never pile up in one partition.
+    ``qstats`` cannot outgrow the weighed topic terms and is broadcast in
+    ``n`` slices: the postings are never shuffled by term, so a hot term
+    never piles up in one partition. They are dealt out by document, so
+    every later sum per (topic, document) is local.
     """
-    return index.postings_all.join(broadcast_if(qstats, qstats_rows), TERM_KEYS)
+    return sliced_join(index.postings_all.repartition("doc_id"), qstats, TERM_KEYS, n)
 
 
 def vsm_factors(qstats: DataFrame, n_docs: Column, n_topics: Column,
@@ -53,42 +53,33 @@ def contributions(matches: DataFrame) -> DataFrame:
     return matches.withColumn("w", F.col("f") * F.col("tf").cast("double"))
 
 
-def _with_fill(contrib: DataFrame, fill: DataFrame | None) -> DataFrame:
-    rows = contrib.select("topic_id", "doc_id", "dl", "w")
-    if fill is None:
-        return rows
-    return rows.unionByName(fill.select("topic_id", "doc_id", F.lit(None).cast("long").alias("dl"),
-                                        F.lit(0.0).alias("w")))
-
-
-def vsm_scores(contrib: DataFrame, avgdl: Column, fill: DataFrame | None = None) -> DataFrame:
+def vsm_scores(contrib: DataFrame, avgdl: Column) -> DataFrame:
     """Sum per (topic, document), then divide by the squared length norm
     (J2/J3): both weights carry the document's norm, so it factors out of
     the sum. With an average length of 0 the norm is infinite and the
-    score 0, as in the model. ``fill`` adds zero-weight candidate pairs."""
-    raw = (_with_fill(contrib, fill).groupBy("topic_id", "doc_id")
+    score 0, as in the model."""
+    raw = (contrib.groupBy("topic_id", "doc_id")
            .agg(F.sum("w").alias("raw"), F.max("dl").alias("dl")))
     norm = W.length_norm(F.col("dl"), avgdl)
     score = F.coalesce(F.try_divide(F.col("raw"), norm * norm), F.lit(0.0))
     return raw.select("topic_id", "doc_id", W.rank_score(score).alias("score"))
 
 
-def feedback_terms(contrib: DataFrame, fb_docs: DataFrame, fb_rows: int | None) -> DataFrame:
+def feedback_terms(contrib: DataFrame, fb_docs: DataFrame) -> DataFrame:
     """Query terms with tf > 0 in any feedback document of their topic (J7):
     an existential test, so a left-semi join and a distinct."""
-    docs = broadcast_if(fb_docs.select("topic_id", "doc_id"), fb_rows)
-    return (contrib.join(docs, ["topic_id", "doc_id"], "left_semi")
+    docs = fb_docs.select("topic_id", "doc_id")
+    return (sliced_join(contrib, docs, ["topic_id", "doc_id"], n_slices(docs, []), "left_semi")
                    .select("topic_id", *TERM_KEYS).distinct())
 
 
-def boost_feedback(contrib: DataFrame, fb_terms: DataFrame, fb_term_rows: int | None,
-                   factor: float = W.FEEDBACK_BOOST) -> DataFrame:
-    """Contributions of feedback terms count ``factor`` times (J8); Q and
-    qdf are unchanged and no term is added."""
-    marks = broadcast_if(fb_terms.withColumn("boost", F.lit(factor)), fb_term_rows)
-    return (contrib.join(marks, ["topic_id", *TERM_KEYS], "left")
-                   .withColumn("w", F.col("w") * F.coalesce(F.col("boost"), F.lit(1.0)))
-                   .drop("boost"))
+def boost_feedback(qstats: DataFrame, fb_terms: DataFrame, factor: float = W.FEEDBACK_BOOST) -> DataFrame:
+    """Factors of feedback terms count ``factor`` times (J8), on the small
+    side, before the match; Q and qdf are unchanged and no term is added."""
+    marks = fb_terms.select("topic_id", *TERM_KEYS, F.lit(factor).alias("boost"))
+    return (qstats.join(marks, ["topic_id", *TERM_KEYS], "left")
+                  .withColumn("f", F.col("f") * F.coalesce(F.col("boost"), F.lit(1.0)))
+                  .drop("boost"))
 
 
 def legacy_factors(qstats: DataFrame, n_docs: Column,
@@ -102,9 +93,9 @@ def legacy_factors(qstats: DataFrame, n_docs: Column,
     return qstats.withColumn("f", f)
 
 
-def sum_scores(contrib: DataFrame, fill: DataFrame | None = None) -> DataFrame:
+def sum_scores(contrib: DataFrame) -> DataFrame:
     """Plain sum per (topic, document), no normalisation."""
-    return (_with_fill(contrib, fill).groupBy("topic_id", "doc_id")
+    return (contrib.groupBy("topic_id", "doc_id")
                    .agg(W.rank_score(F.sum("w")).alias("score")))
 
 

@@ -13,11 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import (CONCEPT_DELIMITER, Profile, clean_field, profile_named,
-                                  strip_control)
-from quire.operators.bounded import checked_broadcast, count_upto
+from quire.functions.text import CONCEPT_DELIMITER, Profile, profile_named, strip_control
+from quire.operators.bounded import n_slices, sliced_join
 from quire.operators.index import TERM_KEYS, explode_grams
-from quire.session import max_broadcast_rows
 
 
 def fields_from_table(df: DataFrame, id_col: str, text_col: str,
@@ -50,8 +48,7 @@ def field_grams(fields: DataFrame, profile: Profile, orders=(1, 2)) -> DataFrame
     return explode_grams(seqs, profile, ["topic_id", "field"], orders)
 
 
-def vocab_sequence(fields: DataFrame, vocab: DataFrame, profile: Profile,
-                   vocab_rows: int | None = None) -> DataFrame:
+def vocab_sequence(fields: DataFrame, vocab: DataFrame, profile: Profile) -> DataFrame:
     """Items of each field mapped to vocabulary ids, unknown -> 0.
 
     ``vocab(term STRING, term_id INT)``. Only the vocabulary entries that
@@ -60,10 +57,9 @@ def vocab_sequence(fields: DataFrame, vocab: DataFrame, profile: Profile,
     """
     items = fields.select("topic_id", "field",
                           F.posexplode(profile.sequence(F.col("text"))).alias("pos", "term"))
-    wanted, n_wanted = checked_broadcast(items.select("term").distinct())
-    hits = vocab.select("term", F.col("term_id").cast("int")).join(wanted, "term", "left_semi")
-    hits_b = hits if n_wanted is None else F.broadcast(hits)
-    return (items.join(hits_b, "term", "left")
+    wanted = items.select("term").distinct()
+    hits = sliced_join(vocab.select("term", F.col("term_id").cast("int")), wanted, ["term"], n_slices(wanted, ["term"]), "left_semi")
+    return (items.join(hits, "term", "left")
                  .select("topic_id", "field", "pos", "term",
                          F.coalesce("term_id", F.lit(0)).alias("term_id")))
 
@@ -105,13 +101,23 @@ class TopicBatch:
 
     ids: DataFrame
     grams: DataFrame
+    profile: str | None = None  # how the topics were tokenized, if by a profile
 
     @classmethod
     def from_fields(cls, fields: DataFrame, profile: Profile | str = "word",
                     orders=(1, 2), ids: DataFrame | None = None) -> "TopicBatch":
         profile = profile_named(profile)
         ids = ids if ids is not None else fields.select("topic_id").distinct()
-        return cls(ids.select(F.col("topic_id").cast("long")), field_grams(fields, profile, orders))
+        return cls(ids.select(F.col("topic_id").cast("long")), field_grams(fields, profile, orders), profile.name)
+
+    @classmethod
+    def from_vocabulary(cls, fields: DataFrame, vocab: DataFrame, profile: Profile | str = "char",
+                        ids: DataFrame | None = None) -> "TopicBatch":
+        """Topics as vocabulary ids (T6-T8), for an index of integer terms."""
+        profile = profile_named(profile)
+        ids = ids if ids is not None else fields.select("topic_id").distinct()
+        grams = vocab_grams(vocab_sequence(fields, vocab, profile)).select("topic_id", "field", *TERM_KEYS)
+        return cls(ids.select(F.col("topic_id").cast("long")), grams)
 
     @classmethod
     def from_table(cls, df: DataFrame, id_col: str, text_col: str, field_col: str | None = None,
@@ -130,16 +136,7 @@ class TopicBatch:
         """Q, topics in the batch, as a scalar subquery."""
         return self.ids.select(F.count(F.lit(1))).scalar()
 
-    def weighted_terms(self) -> tuple[DataFrame, int | None]:
-        """``topic_id, n, t1, t2, qtf, qdf`` with a proven row bound.
-
-        The frame is small (topics x distinct terms per topic); it is
-        counted once, up to the broadcast bound, so later joins know
-        whether it may be broadcast.
-        """
+    def weighted_terms(self) -> DataFrame:
+        """``topic_id, n, t1, t2, qtf, qdf``: Q and qdf cover the whole batch."""
         tt = self.terms()
-        qdf = topic_doc_freq(tt)
-        out = tt.join(qdf, TERM_KEYS)
-        n = count_upto(tt, max_broadcast_rows(tt.sparkSession))
-        bound = n if n <= max_broadcast_rows(tt.sparkSession) else None
-        return out, bound
+        return tt.join(topic_doc_freq(tt), TERM_KEYS)

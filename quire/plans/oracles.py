@@ -19,6 +19,16 @@ CONV = O.topic_ctes("word", src="conversations", id_expr="conv_id",
 MATCH_KEYS = "qtf.n = post.n AND qtf.t1 = post.t1 AND qtf.t2 = post.t2"
 
 
+def _ranked(scores: str, k: int) -> str:
+    """Top ``k`` of all documents per topic by ``scores(topic_id, doc_id, score)``,
+    0 where there is none."""
+    return f"""SELECT topic_id, doc_id, score, rank::INTEGER AS rank FROM (
+  SELECT t.topic_id, d.doc_id, coalesce(sc.score, 0) AS score,
+         row_number() OVER (PARTITION BY t.topic_id ORDER BY coalesce(sc.score, 0) DESC, d.doc_id) AS rank
+  FROM tids t CROSS JOIN documents d LEFT JOIN ({scores}) sc ON sc.topic_id = t.topic_id AND sc.doc_id = d.doc_id)
+WHERE rank <= {k}"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
@@ -176,17 +186,17 @@ JOIN dlen ON dlen.doc_id = post.doc_id CROSS JOIN corpus""",
 FROM qtf JOIN post ON {MATCH_KEYS} WHERE qtf.n = 1""",
     "match_bigram": _with(IDX, TOP) + f"""SELECT qtf.topic_id, qtf.t1, qtf.t2, post.doc_id, qtf.qtf, post.tf
 FROM qtf JOIN post ON {MATCH_KEYS} WHERE qtf.n = 2""",
-    "score_unigram": _with(IDX, TOP, MT) + "SELECT topic_id, doc_id, round(sum(w), 6) AS score FROM mt WHERE n = 1 GROUP BY topic_id, doc_id",
-    "score_bigram": _with(IDX, TOP, MT) + "SELECT topic_id, doc_id, round(sum(w), 6) AS score FROM mt WHERE n = 2 GROUP BY topic_id, doc_id",
-    "score_fused": _with(IDX, TOP, MT) + f"SELECT topic_id, doc_id, round({FUSED}, 6) AS score FROM mt GROUP BY topic_id, doc_id",
+    "score_unigram": _with(IDX, TOP, MT) + _ranked("SELECT topic_id, doc_id, round(sum(w), 6) AS score FROM mt WHERE n = 1 GROUP BY topic_id, doc_id", TOPK_K),
+    "score_bigram": _with(IDX, TOP, MT) + _ranked("SELECT topic_id, doc_id, round(sum(w), 6) AS score FROM mt WHERE n = 2 GROUP BY topic_id, doc_id", TOPK_K),
+    "score_fused": _with(IDX, TOP, MT) + _ranked(f"SELECT topic_id, doc_id, round({FUSED}, 6) AS score FROM mt GROUP BY topic_id, doc_id", K),
     "topk": _dense_rank(TOPK_K),
     "feedback_docs": _dense_rank(5),
     "feedback_terms_unigram": _with(IDX, TOP, MT, FBT) + "SELECT topic_id, t1 FROM fbt WHERE n = 1",
     "feedback_terms_bigram": _with(IDX, TOP, MT, FBT) + "SELECT topic_id, t1, t2 FROM fbt WHERE n = 2",
-    "score_feedback": _with(IDX, TOP, MT, FBT) + f"""SELECT topic_id, doc_id, round({FUSED}, 6) AS score FROM (
+    "score_feedback": _with(IDX, TOP, MT, FBT) + _ranked(f"""SELECT topic_id, doc_id, round({FUSED}, 6) AS score FROM (
   SELECT mt.topic_id, mt.doc_id, mt.n, mt.w * CASE WHEN fbt.topic_id IS NULL THEN 1.0 ELSE 2.0 END AS w
   FROM mt LEFT JOIN fbt ON fbt.topic_id = mt.topic_id AND fbt.n = mt.n AND fbt.t1 = mt.t1 AND fbt.t2 = mt.t2)
-GROUP BY topic_id, doc_id""",
+GROUP BY topic_id, doc_id""", K),
     "search": O.dense_vsm_sql("word", K),
     "search_feedback": O.dense_vsm_sql("word", K, feedback=True),
     "search_char": O.dense_vsm_sql("char", K, topics=O.topic_ctes("char")),
@@ -196,13 +206,15 @@ GROUP BY topic_id, doc_id""",
   FROM (SELECT t.topic_id, d.doc_id, round(coalesce(sum(lt.w), 0), 6) AS score
         FROM tids t CROSS JOIN documents d LEFT JOIN lt ON lt.topic_id = t.topic_id AND lt.doc_id = d.doc_id
         GROUP BY t.topic_id, d.doc_id)) WHERE rank <= {K}""",
-    "score_legacy": _with(IDX, TOP, LEGACY) + "SELECT topic_id, doc_id, round(sum(w), 6) AS score FROM lt GROUP BY topic_id, doc_id",
-    "cosine_unigram": _with(IDX, TOP, NRM) + """SELECT s.topic_id, s.doc_id, round(s.num / nrm.l2, 6) AS score FROM (
+    "score_legacy": _with(IDX, TOP, LEGACY) + _ranked("SELECT topic_id, doc_id, round(sum(w), 6) AS score FROM lt GROUP BY topic_id, doc_id", TOPK_K),
+    "cosine_unigram": _with(IDX, TOP, NRM) + f"""SELECT topic_id, doc_id, score, rank::INTEGER AS rank FROM (
+SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY score DESC, doc_id) AS rank FROM (
+SELECT s.topic_id, s.doc_id, round(s.num / nrm.l2, 6) AS score FROM (
   SELECT qtf.topic_id, post.doc_id,
          sum(qtf.qtf * log2((corpus.n_docs // dfs.df)::DOUBLE) * post.tf * log2((corpus.n_docs // dfs.df)::DOUBLE)) AS num
   FROM qtf JOIN post ON qtf.n = post.n AND qtf.t1 = post.t1 AND qtf.t2 = post.t2
   JOIN dfs ON qtf.n = dfs.n AND qtf.t1 = dfs.t1 AND qtf.t2 = dfs.t2 CROSS JOIN corpus
   WHERE qtf.n = 1 GROUP BY qtf.topic_id, post.doc_id) s
-JOIN nrm ON nrm.doc_id = s.doc_id AND nrm.n = 1 WHERE nrm.l2 > 0""",
+JOIN nrm ON nrm.doc_id = s.doc_id AND nrm.n = 1 WHERE nrm.l2 > 0)) WHERE rank <= {K}""",
     "label_run": LABEL,
 }

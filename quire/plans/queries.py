@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.functions import weights as W
 from quire.operators import scoring as S
-from quire.operators.bounded import count_upto
 from quire.operators.index import Index
 from quire.operators.ranking import top_k
 from quire.operators.topics import (TopicBatch, fields_from_table, field_grams, split_concepts,
@@ -25,7 +24,6 @@ from quire.plans.search import Search, search, search_legacy
 from quire.sources.positional import ordered_ids
 from quire.sources.sinks import label_run
 from quire.sources.tables import table
-from quire.session import max_broadcast_rows
 
 K = 100          # documents per topic in the full searches
 TOPK_K = 10      # the plain top-k operator
@@ -49,8 +47,8 @@ def _conv(spark, sf, profile="word") -> TopicBatch:
                                  field_col="turn", profile=profile)
 
 
-def _index(spark, sf, profile="word") -> Index:
-    return Index.from_documents(_docs(spark, sf), profile)
+def _index(spark, sf, profile="word", orders=(1, 2)) -> Index:
+    return Index.from_documents(_docs(spark, sf), profile, orders)
 
 
 def _search(spark, sf, profile="word") -> Search:
@@ -87,7 +85,7 @@ def q_char_bigrams(spark, sf):
 def _vocab(spark, sf) -> DataFrame:
     """Stand-in vocabulary: words found in at least two documents, ids
     1, 2, ... in term order (0 stays 'unknown')."""
-    t = _index(spark, sf).terms.where((F.col("n") == 1) & (F.col("df") >= 2)).select(F.col("t1").alias("term"))
+    t = _index(spark, sf, orders=(1,)).terms.where((F.col("n") == 1) & (F.col("df") >= 2)).select(F.col("t1").alias("term"))
     return ordered_ids(t, ["term"], "term_id", start=1).select("term", F.col("term_id").cast("int"))
 
 
@@ -147,11 +145,11 @@ def q_real_doc_len(spark, sf):
 # ---- index -------------------------------------------------------------------
 
 def q_postings_unigram(spark, sf):
-    return _index(spark, sf).postings.where(F.col("n") == 1).select("t1", "doc_id", "tf")
+    return _index(spark, sf, orders=(1,)).postings.select("t1", "doc_id", "tf")
 
 
 def q_postings_bigram(spark, sf):
-    return _index(spark, sf).postings.where(F.col("n") == 2).select("t1", "t2", "doc_id", "tf")
+    return _index(spark, sf, orders=(2,)).postings.select("t1", "t2", "doc_id", "tf")
 
 
 def q_doc_freq(spark, sf):
@@ -167,20 +165,20 @@ def q_avg_doc_length(spark, sf):
 
 
 def q_doc_count(spark, sf):
-    return _index(spark, sf).corpus().select("n_docs")
+    return _index(spark, sf).listed.agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 def q_bigram_vocab(spark, sf):
-    return _index(spark, sf).terms.where(F.col("n") == 2).select("t1", "t2")
+    return _index(spark, sf, orders=(2,)).terms.select("t1", "t2")
 
 
 def q_doc_norm_unigram(spark, sf):
-    return (_index(spark, sf).doc_norms().where(F.col("n") == 1)
+    return (_index(spark, sf, orders=(1,)).materialized().doc_norms().where(F.col("n") == 1)
             .select("doc_id", _r6(F.col("l2")).alias("l2")))
 
 
 def q_doc_norm_bigram(spark, sf):
-    return (_index(spark, sf).doc_norms().where(F.col("n") == 2)
+    return (_index(spark, sf, orders=(2,)).materialized().doc_norms().where(F.col("n") == 2)
             .select("doc_id", _r6(F.col("l2")).alias("l2")))
 
 
@@ -212,9 +210,9 @@ def q_idf_truncated(spark, sf):
 
 
 def q_tfidf(spark, sf):
-    idx = _index(spark, sf)
+    idx = _index(spark, sf).materialized()
     idf = W.idf(idx.n_docs(), F.col("df"))
-    return (idx.postings.join(idx.terms.select("n", "t1", "t2", "df"), ["n", "t1", "t2"])
+    return (idx.postings_with_df()
             .select("n", "t1", "t2", "doc_id", _r6(W.tfidf(F.col("tf"), idf)).alias("tfidf")))
 
 
@@ -231,9 +229,9 @@ def q_topic_weight(spark, sf):
 
 
 def q_doc_weight(spark, sf):
-    idx = _index(spark, sf)
+    idx = _index(spark, sf).materialized()
     norm = W.length_norm(F.col("dl"), idx.avgdl())
-    return (idx.postings.join(idx.terms.select("n", "t1", "t2", "df"), ["n", "t1", "t2"])
+    return (idx.postings_with_df()
             .select("n", "t1", "t2", "doc_id",
                     _r6(W.doc_weight(F.col("tf"), idx.n_docs(), F.col("df"), norm)).alias("weight")))
 
@@ -253,7 +251,8 @@ def q_match_bigram(spark, sf):
 def _order_scores(spark, sf, n):
     s = _search(spark, sf)
     q = s.qstats().where(F.col("n") == n)
-    return s.scores(S.contributions(s.matches(S.vsm_factors(q, s.n_docs, s.n_topics, 1.0 if n == 1 else 0.0))))
+    share = 1.0 if n == 1 else 0.0
+    return s.rank(s.scores(s.contributions(factors=S.vsm_factors(q, s.n_docs, s.n_topics, share))), TOPK_K)
 
 
 def q_score_unigram(spark, sf):
@@ -265,38 +264,30 @@ def q_score_bigram(spark, sf):
 
 
 def q_score_fused(spark, sf):
-    return _search(spark, sf).scores()
+    s = _search(spark, sf)
+    return s.rank(s.scores(), K)
 
 
 def q_topk(spark, sf):
     s = _search(spark, sf)
-    return s.rank(s.contributions(), TOPK_K)
+    return s.rank(s.scores(), TOPK_K)
 
 
 def q_feedback_docs(spark, sf):
-    s = _search(spark, sf)
-    return s.rank(s.contributions(), W.FEEDBACK_DOCS)
-
-
-def _feedback_terms(spark, sf) -> DataFrame:
-    s = _search(spark, sf)
-    contrib = s.contributions()
-    return s.feedback_terms(contrib, s.rank(contrib, W.FEEDBACK_DOCS))
+    return _search(spark, sf).feedback_docs()
 
 
 def q_feedback_terms_unigram(spark, sf):
-    return _feedback_terms(spark, sf).where(F.col("n") == 1).select("topic_id", "t1")
+    return _search(spark, sf).feedback_terms().where(F.col("n") == 1).select("topic_id", "t1")
 
 
 def q_feedback_terms_bigram(spark, sf):
-    return _feedback_terms(spark, sf).where(F.col("n") == 2).select("topic_id", "t1", "t2")
+    return _search(spark, sf).feedback_terms().where(F.col("n") == 2).select("topic_id", "t1", "t2")
 
 
 def q_score_feedback(spark, sf):
     s = _search(spark, sf)
-    contrib = s.contributions()
-    fb = s.feedback_terms(contrib, s.rank(contrib, W.FEEDBACK_DOCS))
-    return s.scores(S.boost_feedback(contrib, fb, s.qterm_rows))
+    return s.rank(s.scores(s.boosted()), K)
 
 
 # ---- whole searches -------------------------------------------------------------
@@ -323,15 +314,17 @@ def q_search_legacy(spark, sf):
 
 def q_score_legacy(spark, sf):
     s = _search(spark, sf)
-    return S.sum_scores(S.contributions(s.matches(S.legacy_factors(s.qstats(), s.n_docs))))
+    factors = S.legacy_factors(s.qstats(), s.n_docs)
+    return s.rank(S.sum_scores(s.contributions(factors=factors)), TOPK_K)
 
 
 def q_cosine_unigram(spark, sf):
-    docs = _docs(spark, sf)
-    full = Index.from_documents(docs, "word", orders=(1,))
-    s = Search(docs, _bench(spark, sf), "word", orders=(1,))
-    contrib = S.contributions(s.matches(S.cosine_factors(s.qstats(), s.n_docs)))
-    return S.cosine_scores(contrib, full.doc_norms())
+    """The best documents with a defined cosine; one unigram index, written
+    once, gives df, norms and matches."""
+    full = _index(spark, sf, orders=(1,)).materialized()
+    s = Search(full, _bench(spark, sf))
+    contrib = s.contributions(factors=S.cosine_factors(s.qstats(), s.n_docs))
+    return top_k(S.cosine_scores(contrib, full.doc_norms()), K)
 
 
 def q_label_run(spark, sf):
@@ -343,8 +336,7 @@ def q_label_run(spark, sf):
     numbers = bench.select(F.col("item_id").alias("topic_id"),
                            F.lpad(F.col("item_id").cast("string"), 3, "0").alias("number"))
     paths = docs.select("doc_id", F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"))
-    n_topics = count_upto(bench, max_broadcast_rows(spark))
-    return label_run(run, numbers, paths, n_topics * K)
+    return label_run(run, numbers, paths).select("topic_no", "rank", "doc_key")
 
 
 QUERIES: dict[str, Query] = {

@@ -4,100 +4,116 @@
 One call answers every topic of a batch with one Spark plan:
 
     topics -> weighted terms (small, counted, broadcast)
-    documents -> token sequences -> grams of the query terms only -> postings
+    documents -> token sequences -> grams of the query terms only (in the
+    scan) -> dealt by document -> postings, written once
     postings x topic terms -> contributions -> sum per (topic, doc) -> /norm^2
-    -> zero fill + top k per topic  [-> feedback terms -> boosted re-score]
+    -> top k per topic and partition -> top k -> zero fill
+    [-> feedback terms -> boosted re-score]
 
-The expensive part (scan, tokenize, postings shuffle) is one exchange that
-both passes of feedback read; the rest is bounded by topics x k rows.
+Texts are never shuffled, and (topic, document) rows only after the partial
+top k: what moves is the query terms' postings and topics x k rows.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import weights as W
 from quire.functions.text import Profile, profile_named
 from quire.operators import scoring as S
-from quire.operators.bounded import count_upto
+from quire.operators.bounded import n_slices
 from quire.operators.index import Index
-from quire.operators.ranking import fill_candidates, fill_width, top_k
+from quire.operators.ranking import ranked_with_zeros
 from quire.operators.topics import TopicBatch
-from quire.session import max_broadcast_rows
-
-
-def _query_index(source: Index | DataFrame, qterms: DataFrame, bound: int | None,
-                 profile: Profile, orders=(1, 2)) -> Index:
-    if isinstance(source, Index):
-        return source.restricted(qterms, bound)
-    return Index.from_documents(source, profile, orders, restrict_to=qterms,
-                                restrict_rows=bound).materialized()
 
 
 class Search:
-    """The pieces of one batch search, exposed for inspection and tests."""
+    """The pieces of one batch search, exposed for inspection and tests.
+
+    Building one starts no job; the topic terms are weighed and the postings
+    written when a piece is first asked for.
+    """
 
     def __init__(self, source: Index | DataFrame, topics: TopicBatch,
                  profile: Profile | str = "word", orders=(1, 2)):
         self.profile = profile_named(profile)
         self.topics = topics
-        self.qterms, self.qterm_rows = topics.weighted_terms()
-        limit = max_broadcast_rows(topics.ids.sparkSession)
-        n_topics = count_upto(topics.ids, limit)
-        self.topic_rows = n_topics if n_topics <= limit else None
-        self.index = _query_index(source, topics.terms(), self.qterm_rows, self.profile, orders)
-        self.n_docs = self.index.n_docs()
+        self.source = source
+        self.orders = orders
+        indexed = source.profile if isinstance(source, Index) else self.profile
+        if topics.profile and indexed and topics.profile != indexed.name:
+            raise ValueError(f"topics are tokenized by profile {topics.profile!r}, documents by {indexed.name!r}")
+        self.qterms = topics.weighted_terms()
         self.n_topics = topics.count()
-        self.avgdl = self.index.avgdl()
+
+    @cached_property
+    def n_slices(self) -> int:
+        """Broadcast slices that hold the weighted topic terms."""
+        return n_slices(self.qterms, ["t1", "t2"])
+
+    @cached_property
+    def index(self) -> Index:
+        terms = self.topics.terms()
+        if isinstance(self.source, Index):
+            return self.source.restricted(terms)
+        return Index.from_documents(self.source, self.profile, self.orders, restrict_to=terms).materialized()
+
+    @property
+    def n_docs(self):
+        return self.index.n_docs()
+
+    @property
+    def avgdl(self):
+        return self.index.avgdl()
 
     def qstats(self) -> DataFrame:
         return S.query_stats(self.index, self.qterms)
 
     def matches(self, qstats: DataFrame | None = None) -> DataFrame:
-        return S.match(self.index, qstats if qstats is not None else self.qstats(),
-                       self.qterm_rows)
-
-    def contributions(self, nonzero: bool = False) -> DataFrame:
-        """Per matched (topic, term, document) weight ``w``.
-
-        With ``nonzero`` the (topic, term) pairs whose factor is exactly 0 -
-        a term in every topic of the batch, or in every document - are
-        dropped on the small side before the fan-out: they add nothing to
-        any score, and doubling them in feedback changes nothing. Rankings
-        use this; the sparse score outputs keep every matched pair."""
-        factors = S.vsm_factors(self.qstats(), self.n_docs, self.n_topics)
-        if nonzero:
-            factors = factors.where(F.col("f") != 0)
-        return S.contributions(self.matches(factors))
-
-    def scores(self, contrib: DataFrame | None = None, fill: DataFrame | None = None) -> DataFrame:
-        """Sparse scores of matched pairs (plus ``fill`` candidates at 0)."""
-        contrib = contrib if contrib is not None else self.contributions()
-        return S.vsm_scores(contrib, self.avgdl, fill)
-
-    def rank(self, contrib: DataFrame, k: int, scorer=None) -> DataFrame:
+        return S.match(self.index, qstats if qstats is not None else self.qstats(), self.n_slices)
+
+    def factors(self, nonzero: bool = False) -> DataFrame:
+        """Topic terms with their document-independent factor ``f``. With
+        ``nonzero`` the pairs whose factor is exactly 0 - a term in every topic
+        of the batch, or in every document - are dropped before the fan-out:
+        they add nothing to any score."""
+        out = S.vsm_factors(self.qstats(), self.n_docs, self.n_topics)
+        return out.where(F.col("f") != 0) if nonzero else out
+
+    def contributions(self, nonzero: bool = False, factors: DataFrame | None = None) -> DataFrame:
+        """Per matched (topic, term, document) weight ``w``."""
+        return S.contributions(self.matches(factors if factors is not None else self.factors(nonzero)))
+
+    def scores(self, contrib: DataFrame | None = None) -> DataFrame:
+        """Sparse scores of matched pairs."""
+        return S.vsm_scores(contrib if contrib is not None else self.contributions(), self.avgdl)
+
+    def rank(self, scores: DataFrame, k: int) -> DataFrame:
         """Top ``k`` of all listed documents per topic (J4 + J5)."""
-        scorer = scorer or self.scores
-        width = fill_width(scorer(contrib), k, self.index.listed_only)
-        fill = fill_candidates(self.topics.ids, self.index.listed, width)
-        return top_k(scorer(contrib, fill), k)
+        return ranked_with_zeros(scores, self.topics.ids, self.index.listed, k, self.index.listed_only)
+
+    def feedback_docs(self, k: int = W.FEEDBACK_DOCS) -> DataFrame:
+        """First-pass top ``k`` of each topic."""
+        return self.rank(self.scores(self.contributions(nonzero=True)), k)
 
-    def feedback_docs(self, first_pass: DataFrame) -> DataFrame:
-        return first_pass.where(F.col("rank") <= W.FEEDBACK_DOCS)
+    def feedback_terms(self, nonzero: bool = False) -> DataFrame:
+        return S.feedback_terms(self.contributions(nonzero), self.feedback_docs())
 
-    def feedback_terms(self, contrib: DataFrame, fb_docs: DataFrame) -> DataFrame:
-        fb_rows = None if self.topic_rows is None else self.topic_rows * W.FEEDBACK_DOCS
-        return S.feedback_terms(contrib, fb_docs, fb_rows)
+    def boosted(self, nonzero: bool = False) -> DataFrame:
+        """Contributions with the feedback terms' factors doubled."""
+        return self.contributions(factors=S.boost_feedback(self.factors(nonzero), self.feedback_terms(nonzero)))
 
     def run(self, k: int = W.DEFAULT_TOP_K, feedback: bool = False) -> DataFrame:
-        contrib = self.contributions(nonzero=True)
-        if not feedback:
-            return self.rank(contrib, k)
-        first = self.rank(contrib, W.FEEDBACK_DOCS)
-        fb_terms = self.feedback_terms(contrib, self.feedback_docs(first))
-        boosted = S.boost_feedback(contrib, fb_terms, self.qterm_rows)
-        return self.rank(boosted, k)
+        contrib = self.boosted(nonzero=True) if feedback else self.contributions(nonzero=True)
+        return self.rank(self.scores(contrib), k)
+
+    def legacy_scores(self) -> DataFrame:
+        # terms with df > N/2 have a truncated unigram idf of 0 and add nothing
+        factors = S.legacy_factors(self.qstats(), self.n_docs).where(F.col("f") != 0)
+        return S.sum_scores(self.contributions(factors=factors))
 
 
 def search(source: Index | DataFrame, topics: TopicBatch, k: int = W.DEFAULT_TOP_K,
@@ -118,6 +134,4 @@ def search_legacy(source: Index | DataFrame, topics: TopicBatch, k: int = W.DEFA
     """Legacy ranking (J11): un-normalised sum of qtf * tf * idf^2, unigram
     idf truncated, 0.8 / 0.2 mix, zero fill, top ``k``."""
     s = Search(source, topics, profile)
-    # terms with df > N/2 have a truncated unigram idf of 0 and add nothing
-    factors = S.legacy_factors(s.qstats(), s.n_docs).where(F.col("f") != 0)
-    return s.rank(S.contributions(s.matches(factors)), k, S.sum_scores)
+    return s.rank(s.legacy_scores(), k)

@@ -25,8 +25,8 @@ LOCAL_DEFAULTS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
-MAX_BROADCAST_ROWS_CONF = "quire.broadcast.maxRows"
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES_CONF = "quire.broadcast.maxBytes"
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -68,5 +68,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def max_broadcast_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(MAX_BROADCAST_ROWS_CONF, str(DEFAULT_MAX_BROADCAST_ROWS)))
+def max_broadcast_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get(MAX_BROADCAST_BYTES_CONF, str(DEFAULT_MAX_BROADCAST_BYTES)))

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.bounded import broadcast_if
 from quire.session import ensure_checkpoint_dir
 
 ROW_BITS = 33  # monotonically_increasing_id: partition id above bit 33
@@ -31,8 +30,7 @@ def ordered_ids(df: DataFrame, order_cols: list[str], name: str, start: int = 0)
     tagged = (df.orderBy(*order_cols)
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
-    return _number(tagged, [F.shiftright("_mid", ROW_BITS)], name, start,
-                   n_splits=tagged.rdd.getNumPartitions())
+    return _number(tagged, F.shiftright("_mid", ROW_BITS), name, start)
 
 
 def split_tagged(lines: DataFrame) -> DataFrame:
@@ -44,40 +42,36 @@ def split_tagged(lines: DataFrame) -> DataFrame:
 
 
 def file_positions(lines: DataFrame, name: str, start: int = 0, weight=None) -> DataFrame:
-    """Add ``name``: the running position of each row within its file, for
-    a DataFrame read with ``spark.read.text`` (or any file source).
+    """Add ``name``: the running position of each row over the whole input
+    (files in name order, lines in file order), for a DataFrame read with
+    ``spark.read.text`` or any file source.
 
     ``weight`` (a column, default 1) says how many positions a row takes;
     ``name`` is then the position of its first one (rows of weight 0 take
-    none). Splits are ordered by byte offset; the running sum inside a split
-    is a window over that split only, and the offsets of the splits come
-    from one small row per split.
+    none). The running sum inside a split is a window over that split only;
+    the offsets of files, and of the splits of a file, come from one small
+    row per file or split.
     """
     w_col = F.lit(1) if weight is None else weight
     tagged = split_tagged(lines).withColumn("_w", w_col.cast("long"))
-    split_w = Window.partitionBy("_file", "_block").orderBy("_mid")
-    inside = tagged.withColumn(
-        "_in", F.coalesce(F.sum("_w").over(split_w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    split_w = before(Window.partitionBy("_file", "_block").orderBy("_mid"))
+    inside = tagged.withColumn("_in", F.coalesce(F.sum("_w").over(split_w), F.lit(0)))
     per_split = tagged.groupBy("_file", "_block").agg(F.sum("_w").alias("_n"))
-    file_w = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_split.withColumn("_off", F.coalesce(F.sum("_n").over(file_w), F.lit(0))).drop("_n")
+    file_w = before(Window.partitionBy("_file").orderBy("_block"))
+    per_file = (per_split.groupBy("_file").agg(F.sum("_n").alias("_all"))
+                         .select("_file", F.coalesce(F.sum("_all").over(before(Window.orderBy("_file"))), F.lit(0)).alias("_files")))
+    offsets = per_split.withColumn("_off", F.coalesce(F.sum("_n").over(file_w), F.lit(0))).drop("_n").join(per_file, "_file")
     out = inside.join(offsets, ["_file", "_block"])
-    return (out.withColumn(name, F.col("_off") + F.col("_in") + F.lit(start))
-               .drop("_off", "_in", "_w", "_mid", "_block", "_file"))
+    return (out.withColumn(name, F.col("_files") + F.col("_off") + F.col("_in") + F.lit(start))
+               .drop("_files", "_off", "_in", "_w", "_mid", "_block", "_file"))
 
 
-def _number(tagged: DataFrame, split_key, name: str, start: int,
-            partition_by: list[str] | None = None, n_splits: int | None = None) -> DataFrame:
-    """``n_splits``: proven number of splits (broadcast licence); without
-    it the offsets join is left to AQE, which sees the exact size of the
-    per-split table at run time."""
-    keys = [f"_k{i}" for i in range(len(split_key))]
-    with_key = tagged.select("*", *[c.alias(k) for c, k in zip(split_key, keys)])
-    per_split = with_key.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.orderBy(*keys) if not partition_by else \
-        Window.partitionBy(*[f"_k{i}" for i in range(len(partition_by))]).orderBy(*keys)
-    offsets = per_split.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = with_key.join(broadcast_if(offsets.select(*keys, "_off", "_first"), n_splits), keys)
-    out = out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first") + F.lit(start))
-    return out.drop(*keys, "_off", "_first", "_mid")
+def _number(tagged: DataFrame, split_key, name: str, start: int) -> DataFrame:
+    """Offset of the row's split plus its place inside it."""
+    with_key = tagged.withColumn("_k", split_key)
+    per_split = with_key.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    w = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_split.select("_k", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    out = with_key.join(offsets, "_k")
+    return out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first") + F.lit(start)).drop("_k", "_off", "_first", "_mid")

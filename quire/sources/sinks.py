@@ -10,29 +10,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import doc_key, topic_number
-from quire.operators.bounded import broadcast_if, checked_broadcast
+from quire.operators.bounded import n_slices, sliced_join
 
 
-def label_run(run: DataFrame, numbers: DataFrame, paths: DataFrame,
-              run_rows: int | None = None) -> DataFrame:
+def _check_unique(df: DataFrame, key: str, label: str, what: str) -> None:
+    repeated = df.groupBy(label).agg(F.count_distinct(key).alias("n")).where((F.col("n") > 1) & F.col(label).isNotNull()).count()
+    if repeated:
+        raise ValueError(f"{repeated} {what} stand for more than one {key}; run not labelled")
+
+
+def label_run(run: DataFrame, numbers: DataFrame, paths: DataFrame) -> DataFrame:
     """Attach topic numbers and document keys to a ranking.
 
     ``run(topic_id, doc_id, rank, ...)``, ``numbers(topic_id, number)``,
-    ``paths(doc_id, path)``. Labels are joined by id, never by position.
-    Only the paths of ranked documents are looked up: the run (at most
-    ``run_rows`` rows) is broadcast into the scan of the path list.
+    ``paths(doc_id, path)``. Labels are joined by id, never by position, and
+    only the paths of ranked documents are looked up. Fails, naming the
+    counts, if a ranked topic has no number, a ranked document has no path,
+    or a number or path is used twice.
     """
-    nums, _ = checked_broadcast(numbers.select("topic_id", "number"))
-    wanted = broadcast_if(run.select("doc_id").distinct(), run_rows)
-    keys = paths.select("doc_id", "path").join(wanted, "doc_id", "left_semi")
-    return (run.join(nums, "topic_id").join(keys, "doc_id")
-               .select(topic_number("number").alias("topic_no"), F.col("rank").cast("int"),
-                       doc_key("path").alias("doc_key")))
-
-
-def unlabeled_topics(run: DataFrame, numbers: DataFrame) -> DataFrame:
-    """Topics of a run without a number (a run must not be written then)."""
-    return run.select("topic_id").distinct().join(numbers.select("topic_id"), "topic_id", "left_anti")
+    run = run.select("topic_id", "doc_id", F.col("rank").cast("int"))
+    wanted = run.select("doc_id").distinct()
+    ranked_paths = sliced_join(paths.select("doc_id", "path"), wanted, ["doc_id"], n_slices(wanted, []), "left_semi")
+    labeled = (run.join(numbers.select("topic_id", topic_number("number").alias("topic_no")), "topic_id", "left")
+                  .join(ranked_paths.select("doc_id", doc_key("path").alias("doc_key")), "doc_id", "left"))
+    _check_unique(numbers.select("topic_id", topic_number("number").alias("topic_no")), "topic_id", "topic_no", "topic numbers")
+    _check_unique(ranked_paths, "doc_id", "path", "paths")
+    n_topics, n_docs = labeled.agg(F.count_distinct(F.when(F.col("topic_no").isNull(), F.col("topic_id"))),
+                                   F.count_distinct(F.when(F.col("doc_key").isNull(), F.col("doc_id")))).first()
+    if n_topics or n_docs:
+        raise ValueError(f"{n_topics} ranked topics without a number and {n_docs} ranked documents without a path; run not labelled")
+    return labeled.select("topic_id", "topic_no", "rank", "doc_key")
 
 
 def write_run(run: DataFrame, numbers: DataFrame, paths: DataFrame, out: str,
@@ -40,16 +47,17 @@ def write_run(run: DataFrame, numbers: DataFrame, paths: DataFrame, out: str,
     """Write ``<topic number> <doc key>`` lines, topics in ``topic_order``
     (``topic_id, topic_pos``; default: by topic_id), documents by rank.
 
-    Fails if a ranked topic has no number, and (Spark's default save mode)
-    if ``out`` already exists - outputs are never overwritten (S11).
+    Fails as :func:`label_run` does, if a ranked topic has no place in
+    ``topic_order``, and (Spark's default save mode) if ``out`` already
+    exists - outputs are never overwritten (S11).
     """
-    if unlabeled_topics(run, numbers).limit(1).count():
-        raise ValueError("ranked topics without a topic number; run not written")
-    order = topic_order if topic_order is not None else \
-        numbers.select("topic_id", F.col("topic_id").alias("topic_pos"))
-    labeled = (run.join(numbers.select("topic_id", "number"), "topic_id")
-                  .join(paths.select("doc_id", "path"), "doc_id")
-                  .join(order.select("topic_id", "topic_pos"), "topic_id"))
-    lines = labeled.select(F.concat_ws(" ", topic_number("number"), doc_key("path")).alias("value"),
-                           "topic_pos", "rank")
+    labeled = label_run(run, numbers, paths)
+    if topic_order is None:
+        labeled = labeled.withColumn("topic_pos", F.col("topic_id"))
+    else:
+        labeled = labeled.join(topic_order.select("topic_id", "topic_pos"), "topic_id", "left")
+        unplaced = labeled.where(F.col("topic_pos").isNull()).select("topic_id").distinct().count()
+        if unplaced:
+            raise ValueError(f"{unplaced} ranked topics without a place in the order; run not written")
+    lines = labeled.select(F.concat_ws(" ", "topic_no", "doc_key").alias("value"), "topic_pos", "rank")
     lines.orderBy("topic_pos", "rank").select("value").write.mode("errorifexists").text(out)

@@ -83,12 +83,8 @@ def test_document_without_postings_has_norm_point_three(spark):
 def test_feedback_bounds(spark):
     docs, topics = _random_case(11)
     s = Search(_docs_df(spark, docs), _topics(spark, topics))
-    contrib = s.contributions()
-    base = {(r.topic_id, r.doc_id): r.score for r in s.scores(contrib).collect()}
-    fb = s.feedback_terms(contrib, s.rank(contrib, 5))
-    from quire.operators import scoring as S
-    boosted = {(r.topic_id, r.doc_id): r.score
-               for r in s.scores(S.boost_feedback(contrib, fb, s.qterm_rows)).collect()}
+    base = {(r.topic_id, r.doc_id): r.score for r in s.scores().collect()}
+    boosted = {(r.topic_id, r.doc_id): r.score for r in s.scores(s.boosted()).collect()}
     for key, b in base.items():
         # both sides are rounded to 6 decimals: allow the rounding of 2b
         assert b - 2e-6 <= boosted[key] <= 2 * b + 2e-6

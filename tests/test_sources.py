@@ -77,7 +77,7 @@ def test_doc_lengths(spark, tmp_path):
 TOPICS = """<?xml version="1.0" encoding="UTF-8"?>
 <xml>
 <topic>
-<number>CIRB010TopicZH001 </number>
+<number>SETATopicXY001 </number>
 <title>ab</title>
 <question>
 cd，e
@@ -88,7 +88,7 @@ ab、cd。
 </concepts>
 </topic>
 <topic>
-<number>CIRB010TopicZH002</number>
+<number>SETATopicXY002</number>
 <title>zz</title>
 </topic>
 </xml>
@@ -115,12 +115,12 @@ def test_doc_xml(spark, tmp_path):
 
 
 def test_qrels_and_run_writing(spark, tmp_path):
-    p = _write(tmp_path, "ans", "001 cdn_foc_0004185\n001 cdn_foc_0004196\n002 x\n")
+    p = _write(tmp_path, "ans", "001 news_a_17\n001 news_b_4\n002 x\n")
     assert R.read_qrels(spark, p).count() == 3
     run = spark.createDataFrame([(0, 10, 1), (0, 11, 2), (1, 10, 1)], "topic_id long, doc_id long, rank int")
     numbers = spark.createDataFrame([(0, "T001"), (1, "T002")], "topic_id long, number string")
     paths = spark.createDataFrame([(10, "a/B/DOC10"), (11, "a/c/doc11"), (12, "x")], "doc_id long, path string")
-    lab = sorted(tuple(r) for r in label_run(run, numbers, paths, 3).collect())
+    lab = sorted(tuple(r) for r in label_run(run, numbers, paths).select("topic_no", "rank", "doc_key").collect())
     assert lab == [("001", 1, "doc10"), ("001", 2, "doc11"), ("002", 1, "doc10")]
     out = os.path.join(tmp_path, "run")
     write_run(run, numbers, paths, out)
