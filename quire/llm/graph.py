@@ -55,5 +55,5 @@ def components(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -
         out = (out.join(nxt, F.col("to") == F.col("_r"), "left")
                   .select("id", F.coalesce("_t", "to").alias("to"))
                   .unionByName(level))
-    out = out.select("id", F.col("to").alias("root"))
-    return scratch.keep(out, "roots") if len(levels) > 1 else out
+    out = scratch.keep(out.select("id", F.col("to").alias("root")), "members")
+    return out.unionByName(out.select(F.col("root").alias("id"), "root").distinct())
