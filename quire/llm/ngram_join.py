@@ -39,7 +39,8 @@ from quire.llm.textbytes import U64, chunks, list_column, mix, mix_int, shingles
 BAND_GROWTH = 1.5           # sizes of a band: up to 1.5 times its smallest
 EXPECTED_BAND = 1_000_000   # documents of a band the cost model expects
 SPARE = 0.15                # units beyond those owed, so that accidental segments can be skipped
-SHARED = 0.05               # share of a set's elements it expects unrelated sets to share
+KEPT = 1.2                  # size of the segments indexed (the larger ones) over the mean
+SHARED = 0.02               # share of a set's elements it expects unrelated sets to share
 SIGNED = "row long, doc_id long, n_shingles long, set_a long, set_b long, keys array<long>"
 
 
@@ -62,7 +63,7 @@ def allocation(units: int, size: int) -> int:
         exact, each = units - 2 * pairs, size / units
         rows = exact + pairs * (1 + 2 * each)
         close = 2 * each * SHARED ** max(0.0, 2 * each - 1)
-        return rows + EXPECTED_BAND * (exact * SHARED ** each + pairs * close)
+        return rows + EXPECTED_BAND * (exact * SHARED ** (KEPT * each) + pairs * close)
 
     return min(sorted({0, units // 2, *(2 ** i for i in range(units.bit_length()) if 2 ** i <= units // 2)}), key=cost)
 
