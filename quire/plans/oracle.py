@@ -68,9 +68,10 @@ qc AS (SELECT count(*) AS q FROM tids)"""
 
 
 def dense_vsm_sql(profile: str = "word", k: int = K, feedback: bool = False,
-                  topics: str | None = None) -> str:
+                  topics: str | None = None, index: str | None = None) -> str:
     """Dense reference formula: every topic x every document."""
     tctes = topics or topic_ctes(profile)
+    ictes = index or index_ctes(profile)
     per_term = """
     (qtf.qtf / (0.3 + 0.7 * dlen.dl / corpus.avgdl)) * log2(qc.q / qdfs.qdf)
   * (post.tf / (0.3 + 0.7 * dlen.dl / corpus.avgdl)) * log2(corpus.n_docs / dfs.df)"""
@@ -94,7 +95,7 @@ ranked AS (
          row_number() OVER (PARTITION BY topic_id ORDER BY score DESC, doc_id) AS rank
   FROM dense)"""
     if not feedback:
-        return f"WITH {index_ctes(profile)},{tctes},{terms},{dense}\n" \
+        return f"WITH {ictes},{tctes},{terms},{dense}\n" \
                f"SELECT topic_id, doc_id, score, rank::INTEGER AS rank FROM ranked WHERE rank <= {k}"
     fb = f"""
 fbt AS (
@@ -116,5 +117,5 @@ ranked2 AS (
   SELECT topic_id, doc_id, score,
          row_number() OVER (PARTITION BY topic_id ORDER BY score DESC, doc_id) AS rank
   FROM dense2)"""
-    return f"WITH {index_ctes(profile)},{tctes},{terms},{dense},{fb}\n" \
+    return f"WITH {ictes},{tctes},{terms},{dense},{fb}\n" \
            f"SELECT topic_id, doc_id, score, rank::INTEGER AS rank FROM ranked2 WHERE rank <= {k}"

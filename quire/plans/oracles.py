@@ -84,6 +84,41 @@ bpos AS (SELECT item_id, s, unnest(range(0, len(s))) AS pos FROM btok),
 lk AS (SELECT bpos.item_id, bpos.pos, coalesce(vocab.term_id, 0) AS term_id
        FROM bpos LEFT JOIN vocab ON vocab.term = bpos.s[bpos.pos + 1])"""
 
+def _id_ctes(p: str, src: str, id_col: str) -> str:
+    """{p}post(id, n, t1, t2, tf) over vocabulary ids; unknown words break bigrams."""
+    return f"""
+{p}tok AS (SELECT {id_col} AS id, regexp_extract_all(lower(coalesce(text, '')), '{WORD_PATTERN}') AS s FROM {src}),
+{p}at AS (SELECT id, s, unnest(range(1, len(s) + 1)) AS i FROM {p}tok),
+{p}id AS (SELECT a.id, a.i, coalesce(v.term_id, 0) AS t, coalesce(w.term_id, 0) AS u
+          FROM {p}at a LEFT JOIN vocab v ON v.term = a.s[a.i] LEFT JOIN vocab w ON w.term = a.s[a.i + 1]),
+{p}post AS (SELECT id, n, t1, t2, count(*) AS tf FROM (
+  SELECT id, 1 AS n, t AS t1, -1 AS t2 FROM {p}id WHERE t > 0
+  UNION ALL SELECT id, 2, t, u FROM {p}id WHERE t > 0 AND u > 0) GROUP BY id, n, t1, t2)"""
+
+
+ID_INDEX = f"""vw AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '{WORD_PATTERN}')) AS term FROM documents),
+vocab AS (SELECT term, row_number() OVER (ORDER BY term) AS term_id
+          FROM (SELECT term FROM vw GROUP BY term HAVING count(DISTINCT doc_id) >= 2)),""" + _id_ctes("d", "documents", "doc_id") + """,
+post AS (SELECT n, t1, t2, id AS doc_id, tf FROM dpost),
+dfs AS (SELECT n, t1, t2, count(*) AS df FROM post GROUP BY n, t1, t2),
+dlen AS (SELECT d.doc_id, coalesce(u.dl, 0) AS dl FROM documents d
+         LEFT JOIN (SELECT doc_id, sum(tf)::BIGINT AS dl FROM post WHERE n = 1 GROUP BY doc_id) u ON d.doc_id = u.doc_id),
+corpus AS (SELECT count(*) AS n_docs, sum(dl)::BIGINT // count(*) AS avgdl FROM dlen)"""
+
+ID_TOPICS = _id_ctes("q", "benchmark", "item_id") + """,
+tids AS (SELECT DISTINCT item_id AS topic_id FROM benchmark),
+qtf AS (SELECT id AS topic_id, n, t1, t2, tf AS qtf FROM qpost),
+qdfs AS (SELECT n, t1, t2, count(*) AS qdf FROM qtf GROUP BY n, t1, t2),
+qc AS (SELECT count(*) AS q FROM tids)"""
+
+
+def _marked(expr: str) -> str:
+    """The six marks put after words, as the query's stand-in input does."""
+    for mark, letter in zip(FULLWIDTH_MARKS, "aeinst"):
+        expr = f"replace({expr}, '{letter} ', '{letter}{mark} ')"
+    return expr
+
+
 NRM = """
 nrm AS (
   SELECT post.doc_id, post.n, sqrt(sum(pow(post.tf * log2((corpus.n_docs // dfs.df)::DOUBLE), 2))) AS l2
@@ -142,7 +177,7 @@ FROM ranked r JOIN documents d ON d.doc_id = r.doc_id WHERE r.rank <= {K}"""
 
 ORACLES: dict[str, str] = {
     "strip_control": f"SELECT doc_id, translate(text, {CTRL}, '') AS clean FROM documents",
-    "strip_punct": f"SELECT doc_id, translate(text, '{FULLWIDTH_MARKS}', '') AS clean FROM documents",
+    "strip_punct": f"SELECT doc_id, translate({_marked('text')}, '{FULLWIDTH_MARKS}', '') AS clean FROM documents",
     "char_unigrams": """SELECT item_id, c AS term, count(*) AS tf
 FROM (SELECT item_id, unnest(string_split(text, '')) AS c FROM benchmark) WHERE c <> '' GROUP BY item_id, c""",
     "char_bigrams": """WITH s AS (SELECT item_id, list_filter(string_split(text, ''), lambda x: x <> '') AS s FROM benchmark),
@@ -201,6 +236,7 @@ GROUP BY topic_id, doc_id""", K),
     "search_feedback": O.dense_vsm_sql("word", K, feedback=True),
     "search_char": O.dense_vsm_sql("char", K, topics=O.topic_ctes("char")),
     "search_conversations": O.dense_vsm_sql("word", K, topics=CONV),
+    "search_vocab_ids": O.dense_vsm_sql(k=K, index=ID_INDEX, topics=ID_TOPICS),
     "search_legacy": _with(IDX, TOP, LEGACY) + f"""SELECT topic_id, doc_id, score, rank::INTEGER AS rank FROM (
   SELECT topic_id, doc_id, score, row_number() OVER (PARTITION BY topic_id ORDER BY score DESC, doc_id) AS rank
   FROM (SELECT t.topic_id, d.doc_id, round(coalesce(sum(lt.w), 0), 6) AS score

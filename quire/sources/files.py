@@ -7,13 +7,14 @@ window. A missing input path raises Spark's path-not-found error (S12).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.text import (BLANK_CLASS, CONCEPT_DELIMITER, Profile, profile_named,
-                                  topic_number, trim_blanks)
-from quire.operators.topics import TopicBatch, field_grams, split_concepts
+from quire.functions.text import BLANK_CLASS, CONCEPT_DELIMITER, Profile, cleaned_length, topic_number, trim_blanks
+from quire.operators.topics import TopicBatch, split_concepts
 from quire.sources.positional import file_positions, split_tagged
 
 WS_SPLIT = BLANK_CLASS + "+"
@@ -104,39 +105,45 @@ def inverted_file_errors(postings: DataFrame) -> DataFrame:
     return orphans.unionByName(counts)
 
 
-TOPIC_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
-                             ("number", "title", "question", "narrative", "concepts")])
+TOPIC_FIELDS = ("title", "question", "narrative", "concepts")
+TOPIC_SCHEMA = T.StructType([T.StructField("topic", T.ArrayType(T.StructType(
+    [T.StructField(c, T.ArrayType(T.StringType())) for c in ("number", *TOPIC_FIELDS)])))])
 
 
 def read_topics(spark: SparkSession, path: str) -> DataFrame:
-    """``topic_pos, number, title, question, narrative, concepts`` (S4) from
-    XML whose root holds ``topic`` elements; missing fields read as ''."""
-    df = (spark.read.format("xml").option("rowTag", "topic").option("ignoreSurroundingSpaces", "false")
-               .schema(TOPIC_SCHEMA).load(path))
-    df = file_positions(df, "topic_pos")
-    return df.select("topic_pos", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in TOPIC_SCHEMA.names])
+    """``topic_pos, number`` and, as arrays of every element of the name,
+    ``title, question, narrative, concepts`` (S4), from the ``topic`` children
+    of the files' root element ``xml``. A missing number reads as ''."""
+    roots = (spark.read.format("xml").option("rowTag", "xml").option("ignoreSurroundingSpaces", "false")
+                  .schema(TOPIC_SCHEMA).load(path))
+    roots = file_positions(roots, "_first", weight=F.coalesce(F.size("topic"), F.lit(0)))
+    each = roots.select("_first", F.posexplode("topic").alias("_at", "t"))
+    return each.select((F.col("_first") + F.col("_at")).alias("topic_pos"),
+                       F.coalesce(F.get("t.number", F.lit(0)), F.lit("")).alias("number"),
+                       *[F.coalesce(F.col(f"t.{c}"), F.array().cast("array<string>")).alias(c) for c in TOPIC_FIELDS])
 
 
 def topic_fields(topics: DataFrame, delimiter: str = CONCEPT_DELIMITER) -> DataFrame:
-    """``topic_id, field, text``: title, question and narrative as fields of
-    their own, and every concept entry as one more (T9, T10)."""
-    base = topics.select(F.col("topic_pos").alias("topic_id"), "title", "question", "narrative", "concepts")
-    plain = base.select("topic_id", F.explode(F.array(
-        *[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in ("title", "question", "narrative")]
-    )).alias("f")).select("topic_id", "f.field", "f.text")
-    concepts = split_concepts(base.select("topic_id", F.lit("concepts").alias("field"),
-                                          F.col("concepts").alias("text")), delimiter)
-    return plain.unionByName(concepts)
+    """``topic_id, field, text``: every title, question and narrative element as
+    a field of its own, and every concept entry as one more (T9, T10)."""
+    def fields(name):
+        return topics.select(F.col("topic_pos").alias("topic_id"), F.posexplode(name).alias("_at", "text")) \
+                     .select("topic_id", F.concat_ws(".", F.lit(name), F.col("_at").cast("string")).alias("field"),
+                             F.coalesce("text", F.lit("")).alias("text"))
+    plain = fields("title").unionByName(fields("question")).unionByName(fields("narrative"))
+    return plain.unionByName(split_concepts(fields("concepts"), delimiter))
 
 
 def topic_batch_from_xml(spark: SparkSession, path: str, profile: Profile | str = "char",
-                         delimiter: str = CONCEPT_DELIMITER) -> tuple[TopicBatch, DataFrame]:
+                         delimiter: str = CONCEPT_DELIMITER, vocab: DataFrame | None = None) -> tuple[TopicBatch, DataFrame]:
     """A :class:`TopicBatch` (ids = 0-based topic positions) and the topic
-    numbers ``topic_id, number, topic_no`` of a topic file."""
+    numbers ``topic_id, number, topic_no`` of a topic file. With ``vocab``
+    (``term, term_id``) the terms are vocabulary ids, as inverted files have."""
     topics = read_topics(spark, path)
     fields = topic_fields(topics, delimiter)
     ids = topics.select(F.col("topic_pos").alias("topic_id"))
-    batch = TopicBatch(ids, field_grams(fields, profile_named(profile)))
+    batch = TopicBatch.from_fields(fields, profile, ids=ids) if vocab is None else \
+        TopicBatch.from_vocabulary(fields, vocab, profile, ids)
     numbers = topics.select(F.col("topic_pos").alias("topic_id"), "number",
                             topic_number("number").alias("topic_no"))
     return batch, numbers
@@ -155,6 +162,18 @@ def read_doc_xml(spark: SparkSession, path: str) -> DataFrame:
                      F.coalesce(F.col("text.p"), F.array().cast("array<string>")).alias("paragraphs"))
 
 
+def doc_xml_lengths(docs: DataFrame, root: str = "") -> DataFrame:
+    """``path, title_len, text_len, doc_len`` (T15) of ``read_doc_xml`` rows:
+    cleaned lengths of the title and of all paragraphs. ``path`` is relative
+    to ``root`` (T14)."""
+    title = F.coalesce(cleaned_length("title"), F.lit(0).cast("long"))
+    text = F.aggregate(F.transform("paragraphs", lambda s: F.coalesce(cleaned_length(s), F.lit(0).cast("long"))),
+                       F.lit(0).cast("long"), lambda a, b: a + b)
+    path = F.col("path") if not root else F.regexp_replace("path", F.concat(F.lit("^(file:)?/*"), F.lit(re.escape(root.strip("/"))), F.lit("/")), F.lit(""))
+    return (docs.select(path.alias("path"), title.alias("title_len"), text.alias("text_len"))
+                .withColumn("doc_len", F.col("title_len") + F.col("text_len")))
+
+
 QRELS_SCHEMA = "topic_no STRING, doc_key STRING"
 
 

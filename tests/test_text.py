@@ -47,9 +47,9 @@ def test_empty_and_missing_fields_give_nothing(spark):
 
 
 def test_topic_number_and_doc_key(spark):
-    df = spark.createDataFrame([("CIRB010TopicZH001 \n", "Coll/Sub/CDN_FOC_0004185")], "a string, b string")
+    df = spark.createDataFrame([("SETATopicXY001 \n", "Coll/Sub/NEWS_A_17")], "a string, b string")
     r = df.select(T.topic_number("a").alias("n"), T.doc_key("b").alias("k")).first()
-    assert (r.n, r.k) == ("001", "cdn_foc_0004185")
+    assert (r.n, r.k) == ("001", "news_a_17")
 
 
 def test_doc_path_drops_repeated_folder(spark):
