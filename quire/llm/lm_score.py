@@ -1,18 +1,18 @@
 """Scoring texts with a weighted backoff automaton.
 
-Model: words with additive smoothing at the root; every history that is
-frequent in the training texts (relative frequency ``STATE_SHARE`` or more,
-so 1 / STATE_SHARE states at most) is a state whose arcs are the training
-bigrams into frequent words, discounted by ``DISCOUNT`` and interpolated with
-the root; every other word is reached over the state's failure arc, whose
-weight is the mass the arcs leave. A traversal runs from left to right,
-carries the state and adds up log10 probabilities.
+Model: words with additive smoothing at the root; every history of the
+training texts (each word and the begin of a text) is a state whose arcs are
+all its training bigrams, discounted by ``DISCOUNT`` and interpolated with the
+root; every other word is reached over the state's failure arc, whose weight
+is the mass the arcs leave. A traversal runs from left to right, carries the
+state and adds up log10 probabilities. The order is 2; no n-gram is dropped.
 
 At scale: a text task writes blocks of some megabytes of text as word ids
-with the block's vocabulary. Counts are pre-aggregated per block, summed by
-Spark, and joined back to the blocks that ask for them, so a block is scored
-with just the slice of the automaton its texts can visit; the model as a
-whole is never in one place. Only the states (a bounded table) are broadcast.
+with the block's vocabulary. Counts of words and arcs (64-bit hashes of word
+pairs) are pre-aggregated per block, summed by Spark, and joined back to the
+blocks that ask for them, as are the numbers of arcs of the histories, so a
+block is scored with just the slice of the automaton its texts can visit; the
+model as a whole is never in one place and nothing of it is broadcast.
 
 Defined results: a null text is empty and has the end token alone; a null
 ``doc_id`` is scored, not learned from, and not held out; repeated rows count
@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.scratch import Scratch
-from quire.llm.textbytes import chunks, span_hashes, word_bounds
+from quire.llm.textbytes import U64, chunks, mix, mix_int, span_hashes, word_bounds
 
-STATE_SHARE = 5e-5         # least relative frequency of a state's word: 20,000 states at most
 DISCOUNT = 0.6
 BLOCK_BYTES = 16 << 20
+BEGIN, END = mix_int(1), mix_int(2)       # as a history, as a word
 BLOCK = ("block long, doc_id array<long>, held_out array<boolean>, learn array<boolean>, n_words array<int>, "
          "vocabulary array<long>, n_learn array<long>, ids binary")
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -77,39 +77,30 @@ def word_blocks(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "held_out", "learn", F.col("text").cast("string")).mapInArrow(run, BLOCK)
 
 
-def _arcs_of(ids: np.ndarray, n_words: np.ndarray, state_of: np.ndarray, n_states: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every token (words and, per text, one end): its word's local id (-1:
-    end), the state it is read in (-1: root) and its arc code in that state
-    (-1: none possible). State and word numbers: 0.. the frequent words,
-    ``n_states`` the begin of a text (as a state) and its end (as a word)."""
+def _arcs_of(ids: np.ndarray, n_words: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every token (words and, per text, one end): the local ids of its word
+    and of the history it is read in (the last local id: end and begin), and
+    its place in the arcs; history and pair hash of every different arc."""
     lengths = n_words + 1
     last = np.cumsum(lengths) - 1
-    token = np.full(int(lengths.sum()), -1, np.int64)
+    edge = len(vocabulary)
+    token = np.full(int(lengths.sum()), edge, np.int64)
     is_word = np.ones(len(token), bool)
     is_word[last] = False
     token[is_word] = ids
-    into = np.where(is_word, state_of[token] if len(state_of) else -1, n_states)
-    state = np.empty_like(into)
-    state[1:] = into[:-1]
-    state[last[:-1] + 1] = n_states
-    state[:1] = n_states
-    code = np.where((state >= 0) & (into >= 0), state * (n_states + 1) + into, -1)
-    return token, state, code
-
-
-def _states(vocabulary: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Number of each word's state, -1 without one. ``frequent`` is sorted."""
-    if not len(frequent):
-        return np.full(len(vocabulary), -1, np.int64)
-    at = np.minimum(np.searchsorted(frequent, vocabulary), len(frequent) - 1)
-    return np.where(frequent[at] == vocabulary, at, -1)
-
-
-def arc_counts(blocks: DataFrame, frequent) -> DataFrame:
-    """``block, code, n``: arcs that occur in a block, with their count in texts
-    to learn from."""
+    state = np.empty_like(token)
+    state[1:] = token[:-1]           # an end is followed by a begin
+    state[:1] = edge
+    pairs, place = np.unique(state * (edge + 1) + token, return_inverse=True)
+    histories = np.append(vocabulary.view(U64), U64(BEGIN))[pairs // (edge + 1)]
+    words = np.append(vocabulary.view(U64), U64(END))[pairs % (edge + 1)]
+    return token, state, place, histories.view(np.int64), mix(histories * U64(0x9E3779B97F4A7C15) + words).view(np.int64)
+
+
+def arc_counts(blocks: DataFrame) -> DataFrame:
+    """``block, history, arc, n``: arcs that occur in a block, with their count
+    in texts to learn from."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = frequent.value
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
@@ -117,69 +108,72 @@ def arc_counts(blocks: DataFrame, frequent) -> DataFrame:
                 vocabulary = np.asarray(row["vocabulary"][0].values)
                 learn = np.asarray(row["learn"][0].values).astype(bool)
                 ids = np.frombuffer(row["ids"][0].as_py(), "<u4")
-                _, _, code = _arcs_of(ids, n_words, _states(vocabulary, words), len(words))
-                codes, back = np.unique(code, return_inverse=True)
-                counts = np.bincount(back[np.repeat(learn, n_words + 1)], minlength=len(codes))
-                some = codes >= 0
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(int(some.sum()), row["block"][0].as_py())), pa.array(codes[some]), pa.array(counts[some])],
-                                                 names=["block", "code", "n"])
+                _, _, place, histories, arcs = _arcs_of(ids, n_words, vocabulary)
+                counts = np.bincount(place[np.repeat(learn, n_words + 1)], minlength=len(arcs))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(arcs), row["block"][0].as_py())), pa.array(histories), pa.array(arcs), pa.array(counts)],
+                                                 names=["block", "history", "arc", "n"])
 
-    return blocks.select("block", "n_words", "learn", "vocabulary", "ids").mapInArrow(run, "block long, code long, n long")
+    return blocks.select("block", "n_words", "learn", "vocabulary", "ids").mapInArrow(run, "block long, history long, arc long, n long")
+
+
+def arc_replies(asked: DataFrame) -> DataFrame:
+    """``block, key, c, history``: the summed count of every trained arc for each
+    block that asks for it; one of them (the least block) carries the history.
+    ``asked`` is dealt out by arc once; the sums and the rows read the same
+    exchange."""
+    dealt = asked.repartition("arc")
+    sums = dealt.groupBy("arc").agg(F.sum("n").alias("c"), F.min("block").alias("least")).where("c > 0")
+    return dealt.join(sums, "arc").select("block", F.col("arc").alias("key"), "c", F.when(F.col("block") == F.col("least"), F.col("history")).alias("history"))
 
 
 def score_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``
     for every row of ``docs`` (``doc_id, held_out, learn, text``)."""
-    spark = docs.sparkSession
     blocks = scratch.keep(word_blocks(docs), "blocks")
     asked = blocks.select("block", F.explode(F.arrays_zip("vocabulary", "n_learn")).alias("x")).select("block", F.col("x.vocabulary").alias("key"), F.col("x.n_learn").alias("n"))
     words = scratch.keep(asked.groupBy("key").agg(F.sum("n").alias("c")).where("c > 0"), "words")
     texts = blocks.select(F.explode("learn").alias("learn")).where("learn").count()
     total, distinct = words.agg(F.sum("c"), F.count(F.lit(1))).first()
     tokens, types = (total or 0) + texts, distinct + (texts > 0)
-    frequent_rows = words.where(F.col("c") >= F.lit(tokens * STATE_SHARE)).orderBy("key").collect() if tokens else []
-    frequent = spark.sparkContext.broadcast(np.array([r["key"] for r in frequent_rows], np.int64))
-    n_states = len(frequent_rows)
-    arcs_asked = scratch.keep(arc_counts(blocks, frequent), "arcs-asked")
-    arcs = scratch.keep(arcs_asked.groupBy("code").agg(F.sum("n").alias("c")).where("c > 0"), "arcs")
-    # a state's failure weight: what its discounted arcs leave
-    held = arcs.groupBy(F.expr(f"code div {n_states + 1}").alias("state")).agg((F.sum("c") - DISCOUNT * F.count(F.lit(1))).alias("mass")).collect()
-    seen = np.array([*[r["c"] for r in frequent_rows], texts], np.float64)
-    left = np.ones(n_states + 1)
-    for r in held:
-        left[r["state"]] = 1 - r["mass"] / seen[r["state"]]
-    states = spark.sparkContext.broadcast((seen, left))
+    arcs_asked = scratch.keep(arc_counts(blocks), "arcs-asked")
+    arcs = scratch.keep(arc_replies(arcs_asked), "arcs")
+    scratch.drop(arcs_asked)
+    # every token of a history has an arc: its failure weight is DISCOUNT * arcs / tokens
+    successors = scratch.keep(arcs.where("history is not null").groupBy(F.col("history").alias("key")).agg(F.count(F.lit(1)).alias("successors")), "successors")
+    begin = successors.where(F.col("key") == F.lit(int(np.uint64(BEGIN).view(np.int64)))).first()
+    begins = begin["successors"] if begin else 0
     floor = tokens + 0.5 * (types + 1)
-    replies = (asked.select("block", "key").join(words, "key").select("block", F.lit(False).alias("arc"), "key", "c")
-                    .unionByName(arcs_asked.select("block", F.col("code").alias("key")).join(arcs.withColumnRenamed("code", "key"), "key")
-                                 .select("block", F.lit(True).alias("arc"), "key", "c")))
+    known = words.join(successors, "key", "left").select("key", "c", F.coalesce("successors", F.lit(0)).alias("successors"))
+    replies = (asked.select("block", "key").join(known, "key").select("block", "key", "c", "successors")
+                    .unionByName(arcs.select("block", "key", "c", F.lit(None).cast("long").alias("successors"))))
 
     def traverse(_, left_part: pa.Table, right_part: pa.Table) -> pa.Table:
-        seen, left = states.value
         row = {name: left_part[name][0] for name in left_part.column_names}
         n_words = np.asarray(row["n_words"].values)
         vocabulary = np.asarray(row["vocabulary"].values)
         ids = np.frombuffer(row["ids"].as_py(), "<u4")
-        is_arc = right_part["arc"].to_numpy().astype(bool)
+        is_arc = right_part["successors"].is_null().to_numpy()
         key, c = right_part["key"].to_numpy(), right_part["c"].to_numpy()
+        follow = right_part["successors"].fill_null(0).to_numpy()
 
-        def lookup(keys, counts, wanted):
+        def lookup(keys, wanted, *values):
             if not len(keys):
-                return np.zeros(len(wanted))
+                return [np.zeros(len(wanted)) for _ in values]
             order = np.argsort(keys)
-            keys, counts = keys[order], counts[order]
+            keys = keys[order]
             at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            return np.where(keys[at] == wanted, counts[at], 0).astype(np.float64)
+            return [np.where(keys[at] == wanted, v[order][at], 0).astype(np.float64) for v in values]
 
-        count = np.append(lookup(key[~is_arc], c[~is_arc], vocabulary), float(texts))     # the last: the end token
+        count, arcs_out = lookup(key[~is_arc], vocabulary, c[~is_arc], follow[~is_arc])
+        count = np.append(count, float(texts))     # the last: the end token as a word, the begin as a history
+        arcs_out = np.append(arcs_out, float(begins))
         root = np.log10((count + 0.5) / floor)
-        token, state, code = _arcs_of(ids, n_words, _states(vocabulary, frequent.value), n_states)
-        codes, back = np.unique(code, return_inverse=True)
-        arc = lookup(key[is_arc], c[is_arc], codes)[back]
+        seen = np.maximum(count, 1)
+        left = np.where(count > 0, DISCOUNT * arcs_out / seen, 1.0)
+        token, state, place, _, pairs = _arcs_of(ids, n_words, vocabulary)
+        arc = lookup(key[is_arc], pairs, c[is_arc])[0][place]
         base = root[token]
-        failed = np.where(state >= 0, np.log10(left)[state], 0.0) + base
-        followed = np.where(arc > 0, np.maximum(arc - DISCOUNT, 0) / seen[state], 0.0) + left[state] * 10.0 ** base
-        logs = np.where(arc > 0, np.log10(np.maximum(followed, 1e-300)), failed)
+        logs = np.log10(np.maximum(arc - DISCOUNT, 0) / seen[state] + left[state] * 10.0 ** base)
         begin = np.cumsum(n_words + 1) - (n_words + 1)
         known = np.add.reduceat((count[token] > 0).astype(np.int64), begin)
         return pa.table({"doc_id": pa.array(row["doc_id"].as_py(), pa.int64()), "held_out": pa.array(row["held_out"].as_py(), pa.bool_()),

@@ -191,6 +191,34 @@ def test_lm_is_a_distribution(spark):
     assert s[12] > s[13] and s[10] < 0 and s[11] < s[12]
 
 
+def test_lm_keeps_rare_bigrams(spark):
+    """Among 60,000 training tokens, words and pairs that occur once or twice
+    keep their arcs: the score equals a loop over all bigrams."""
+    rnd = random.Random(8)
+    voc = [f"w{i}" for i in range(50)]
+    learn = [" ".join(rnd.choice(voc) for _ in range(600)) for _ in range(100)] + ["rare pair", "rare pair here", "rare other"]
+    ask = ["rare pair", "rare w1 pair here", "w3 w4 unseen rare", ""]
+    src = spark.createDataFrame([(i, False, True, t) for i, t in enumerate(learn)] + [(1000 + i, True, False, t) for i, t in enumerate(ask)],
+                                "doc_id long, held_out boolean, learn boolean, text string").repartition(3)
+    got = {r.doc_id: r.score for r in score_texts(src, Scratch(spark, "t")).collect()}
+    count, arcs, follow = {}, {}, {}
+    for t in learn:
+        w = [None, *words(t), None]
+        for a, b in zip(w, w[1:]):
+            count[b] = count.get(b, 0) + 1
+            if (a, b) not in arcs:
+                follow[a] = follow.get(a, 0) + 1
+            arcs[a, b] = arcs.get((a, b), 0) + 1
+    n, v = sum(count.values()), len(count)
+    for i, t in enumerate(ask):
+        w, want = [None, *words(t), None], 0
+        for a, b in zip(w, w[1:]):
+            root = (count.get(b, 0) + .5) / (n + .5 * (v + 1))
+            c = count.get(a, 0)
+            want += np.log10(max(arcs.get((a, b), 0) - .6, 0) / c + .6 * follow[a] / c * root if c else root)
+        assert got[1000 + i] == pytest.approx(want)
+
+
 def test_mixing_targets_and_limits(spark, docs):
     got = taken_words(docs, Scratch(spark, "t")).collect()
     assert len(got) == docs.count()
