@@ -283,6 +283,18 @@ def test_line_dedup(spark):
     assert [got[i].n_lines for i in range(7)] == [3, 2, 1, 1, 0, 1, 2]
 
 
+def test_lines_are_compared_whole(spark):
+    """Lines that share only their opening stay; a near line without blanks goes."""
+    rnd = random.Random(6)
+    chinese = "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(200))
+    other = chinese[:20] + "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(100))
+    lines = ["chapter on internationalisation in france", "chapter on internationalisation in greece", "https://example.org/archive/2020/first-page-of-all",
+             "https://example.org/archive/1999/quite-another-text", chinese, other, "很" + chinese[1:], "1 2 3 4 5 6 7 8 9 10 11 12", "1 2 3 4 5 6 7 8 9 10 11 12"]
+    rows = [(i, i, t) for i, t in enumerate(lines)]
+    got = {r.row: list(r.removed) for r in removed_lines(spark.createDataFrame(rows, "row long, doc_id long, text string"), Scratch(spark, "t")).collect()}
+    assert [i for i in range(len(lines)) if got[i]] == [6, 8]
+
+
 def test_surrogates(spark):
     rows = [(1, "Mail Bob.Smith@x.example.org or bob.smith@x.example.org, +1 (884) 555-0549 = +1-884-555-0549"),
             (2, "Mr. John Miller and Mrs Miller, card 4944339490429605 or 4944-3394-9042-9605, IP 55.63.178.142"),
