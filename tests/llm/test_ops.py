@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quire.llm.embedding_dedup import embedding_links
 from quire.llm.graph import components
 from quire.llm.langid import identify
-from quire.llm.line_dedup import removed_lines
+from quire.llm.line_dedup import removed_lines, without_lines
 from quire.llm.lm_score import score_texts
 from quire.llm.mixing import taken_words
 from quire.llm.ngram_join import ngram_components
@@ -295,6 +295,15 @@ def test_lines_are_compared_whole(spark):
     assert [i for i in range(len(lines)) if got[i]] == [6, 8]
 
 
+def test_documents_keep_their_short_lines(spark):
+    """A document goes with its removed lines only if no word is left."""
+    line = "a licence line that stands at the top of every document of the source"
+    rows = [(0, 0, f"{line}\nfirst"), (1, 1, f"{line}\n1 2\nroses are red\n3 4"), (2, 2, f"{line}\n \t\n"), (3, 3, line), (4, 4, ""), (5, 5, " \n"), (6, 6, None)]
+    docs = spark.createDataFrame(rows, "row long, doc_id long, text string")
+    got = {r.row: r.text for r in without_lines(docs, removed_lines(docs, Scratch(spark, "t"))).collect()}
+    assert got == {0: f"{line}\nfirst", 1: "1 2\nroses are red\n3 4", 4: "", 5: " \n", 6: None}
+
+
 def test_surrogates(spark):
     rows = [(1, "Mail Bob.Smith@x.example.org or bob.smith@x.example.org, +1 (884) 555-0549 = +1-884-555-0549"),
             (2, "Mr. John Miller and Mrs Miller, card 4944339490429605 or 4944-3394-9042-9605, IP 55.63.178.142"),
