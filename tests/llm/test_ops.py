@@ -116,6 +116,22 @@ def test_repeated_passages(spark, docs):
         assert d not in {r.doc_id for r in got}
 
 
+def test_exact_passages_in_any_lines(spark):
+    """Short lines, and a passage whose sentence also stands in an earlier,
+    unrelated document; a document of common sentences alone repeats nothing."""
+    rnd = random.Random(11)
+    make = lambda k: [f"{rnd.choice('abcdefgh')}{rnd.randrange(10**6)}" for _ in range(k)]
+    verse, passage, common = make(60), make(51), [make(30) for _ in range(3)]
+    lines = "\n".join(" ".join(verse[i:i + 5]) for i in range(0, 60, 5))
+    rows = [(1, " ".join(make(20) + passage[:30] + make(20))), (2, " ".join(make(30) + passage + make(9))), (3, " ".join(make(7) + passage + make(30)))]
+    rows += [(4, " ".join(make(20) + passage[25:] + make(20)))]
+    rows += [(10, lines), (11, " ".join(make(13)) + "\n" + lines + "\n" + " ".join(make(8))), (12, " ".join(make(30) + verse))]
+    rows += [(20 + i, " ".join(make(25) + c + make(25))) for i, c in enumerate(common)] + [(30, "\n".join(" ".join(c) for c in common))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.start, r.n_words, r.first_doc_id, r.kept) for r in repeats(docs.repartition(3), Scratch(spark, "t")).collect()}
+    assert got == {(2, 30, 51, 2, True), (3, 7, 51, 2, False), (10, 0, 60, 10, True), (11, 13, 60, 10, False), (12, 30, 60, 10, False)}
+
+
 def test_packing_round_trip(spark, docs):
     P = pytest.importorskip("public_tokenizers")
     path = P.path("byte_bpe_50k.json")
