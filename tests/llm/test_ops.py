@@ -132,6 +132,21 @@ def test_exact_passages_in_any_lines(spark):
     assert got == {(2, 30, 51, 2, True), (3, 7, 51, 2, False), (10, 0, 60, 10, True), (11, 13, 60, 10, False), (12, 30, 60, 10, False)}
 
 
+def test_near_paragraphs(spark):
+    """A paragraph with its middle word changed, as a line and as a block of lines."""
+    rnd = random.Random(12)
+    make = lambda k: [f"{rnd.choice('abcdefgh')}{rnd.randrange(10**6)}" for _ in range(k)]
+    base, poem = make(60), make(64)
+    changed = [*base[:30], "other", *base[31:]]
+    block = lambda w: "\n".join(" ".join(w[i:i + 8]) for i in range(0, 64, 8))
+    rows = [(1, " ".join(make(9)) + "\n" + " ".join(base)), (2, " ".join(changed) + "\n" + " ".join(make(12))), (3, " ".join(make(70))),
+            (5, block(poem) + "\n\n" + " ".join(make(30))), (6, " ".join(make(10)) + "\n \n" + block([*poem[:33], "x", *poem[34:]])),
+            (7, " ".join(make(5)) + "\n" + " ".join(make(80)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.start, r.n_words, r.first_doc_id, r.kept) for r in repeats(docs.repartition(2), Scratch(spark, "t")).collect()}
+    assert got == {(1, 9, 60, 1, True), (2, 0, 60, 1, False), (5, 0, 64, 5, True), (6, 10, 64, 5, False)}
+
+
 def test_packing_round_trip(spark, docs):
     P = pytest.importorskip("public_tokenizers")
     path = P.path("byte_bpe_50k.json")
