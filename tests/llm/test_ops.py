@@ -147,6 +147,28 @@ def test_near_paragraphs(spark):
     assert got == {(1, 9, 60, 1, True), (2, 0, 60, 1, False), (5, 0, 64, 5, True), (6, 10, 64, 5, False)}
 
 
+def test_cuts_do_not_depend_on_neighbours():
+    """Paragraphs and seeds of a text are the same alone and among others."""
+    from quire.llm.passage_dedup import LEAST_WORDS, paragraphs, seed_places
+    from quire.llm.textbytes import span_hashes, word_bounds
+
+    def cuts(some):
+        data, out = [t.encode() for t in some], [[] for _ in some]
+        offs = np.cumsum([0, *map(len, data)])
+        flat = np.frombuffer(b"".join(data), np.uint8)
+        w, first, begin, end = paragraphs(flat, offs)
+        for a, b in zip(begin.tolist(), end.tolist()):
+            i = int(np.searchsorted(first, a, side="right")) - 1
+            out[i].append((a - int(first[i]), b - int(first[i]), w[a:b].tolist()))
+        found, hashes = seed_places(w, first, LEAST_WORDS)
+        for a, h in zip(found.tolist(), hashes.tolist()):
+            i = int(np.searchsorted(first, a, side="right")) - 1
+            out[i].append((a - int(first[i]), h))
+        return out
+    some = [t for t in texts() if words(t)]
+    assert cuts(some) == [cuts([t])[0] for t in some]
+
+
 def test_packing_round_trip(spark, docs):
     P = pytest.importorskip("public_tokenizers")
     path = P.path("byte_bpe_50k.json")
