@@ -4,7 +4,7 @@ frequency per host. Built-in functions only.
 Per text: counts of words, symbols, repeated lines and words in repeated
 five-word windows. Across texts: lines are normalised (lower case, single
 blanks) and hashed, and the distinct documents of each (host, line) are
-counted. A line above the limits is boilerplate of its host; a document that
+counted. A line above either limit is boilerplate of its host; a document that
 keeps too little after boilerplate is removed is depleted and rejected.
 
 Defined results: a null text has all counts 0 and fails the base rules; a
@@ -26,8 +26,9 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 LEAST_WORDS = 10
 REPEAT_PERCENT = 20
-LINE_DOCS = 50          # a host's line in more documents than this ...
-LINE_SHARE = 0.01       # ... and in more than this share of the host's documents is boilerplate
+LINE_DOCS = 50          # a host's line in more documents than this is boilerplate ...
+LINE_SHARE = 0.01       # ... and so is one in more than this share of the host's documents,
+SHARE_DOCS = 5          # if these are more than this
 LEAST_LEFT = 0.3        # share of its words a document must keep
 
 
@@ -69,11 +70,11 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 
 def boilerplate(lines: DataFrame, hosts: DataFrame) -> DataFrame:
-    """``host, line`` of the lines (``host, doc, line``) above the limits;
+    """``host, line`` of the lines (``host, doc, line``) above either limit;
     ``hosts`` has ``host, docs``."""
     seen = lines.select("host", "line", "doc").distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
-    return (seen.where(F.col("n") > LINE_DOCS).join(hosts, "host")
-                .where(F.col("n") > F.col("docs") * LINE_SHARE).select("host", "line"))
+    return (seen.where(F.col("n") > SHARE_DOCS).join(hosts, "host")
+                .where((F.col("n") > LINE_DOCS) | (F.col("n") > F.col("docs") * LINE_SHARE)).select("host", "line"))
 
 
 def quality(docs: DataFrame, scratch: Scratch) -> DataFrame:

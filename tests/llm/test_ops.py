@@ -313,6 +313,17 @@ def test_boilerplate_depletes(spark):
     assert not got[100].kept and not got[100].base_failed
 
 
+def test_boilerplate_of_small_and_hot_hosts(spark):
+    """A line in all documents of a small host, and one in 60 of 7,000 (under 1 %)."""
+    line = "this very line stands in many documents of the host"
+    rows = [(i, f"{line}\nonly w{i}", "small") for i in range(8)] + [(100 + i, f"{line}\nonly w{i}", "hot") for i in range(60)]
+    rows += [(1000 + i, f"one line of {i} with words enough to pass rule number one", "hot") for i in range(6940)]
+    rows += [(20 + i, f"{line} again and again\nonly w{i}", "other") for i in range(5)]
+    got = {r.doc_id: r for r in quality(spark.createDataFrame(rows, "doc_id long, text string, source string"), Scratch(spark, "t")).collect()}
+    assert all(got[i].n_boilerplate_words == 10 and not got[i].kept for i in (*range(8), *range(100, 160)))
+    assert all(got[i].kept for i in (*range(20, 25), *range(1000, 7940)))
+
+
 def test_language_id(spark):
     rnd = random.Random(2)
     voc = {"en": "the of and thing would through window".split(), "de": "der und über straße nicht zwischen".split()}
