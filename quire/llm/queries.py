@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.embedding_dedup import embedding_links
+from quire.llm.fim import fill_in_middle, restored
 from quire.llm.langid import identify
 from quire.llm.line_dedup import removed_lines
 from quire.llm.lm_score import score_texts
@@ -20,6 +21,7 @@ from quire.llm.pii import replaced
 from quire.llm.quality import quality
 from quire.llm.scratch import Scratch
 from quire.llm.shipping import ship
+from quire.llm.token_files import read_digests, write_tokens
 from quire.sources.tables import table
 
 PII_KEY = "not-a-secret"      # a deployment passes a key of its own
@@ -84,6 +86,24 @@ def op10_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return embedding_links(table(spark, sf, "embeddings", ["vec_id", "embedding", "label"]), Scratch(spark, "op10"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document in its fill-in-the-middle form, with digests of the output
+    and of the text rebuilt from it."""
+    made = fill_in_middle(table(spark, sf, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's place, length and checksum as read back from the token
+    files written of all documents."""
+    import public_tokenizers
+
+    scratch = Scratch(spark, "op13")
+    write_tokens(table(spark, sf, "documents"), f"{scratch.root}/files", public_tokenizers.path("word_bpe_49k.json"), scratch)
+    return read_digests(spark, f"{scratch.root}/files")
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,6 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _shi
     op8_line_dedup,
     op9_pii_surrogates,
     op10_embedding_dedup,
+    op11_fill_in_middle,
+    op13_token_files,
 )}
 
 ORACLES: dict[str, str] = {}
