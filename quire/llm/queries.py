@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.llm.conversations import damaged, reports
 from quire.llm.embedding_dedup import embedding_links
 from quire.llm.fim import fill_in_middle, restored
 from quire.llm.langid import identify
@@ -15,6 +16,7 @@ from quire.llm.line_dedup import removed_lines
 from quire.llm.lm_score import score_texts
 from quire.llm.mixing import taken_words
 from quire.llm.ngram_join import ngram_components
+from quire.llm.oracles import ORACLES
 from quire.llm.packing import packed_pieces
 from quire.llm.passage_dedup import repeats
 from quire.llm.pii import replaced
@@ -94,6 +96,18 @@ def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
                        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults, cheapest audit and digest of the repair of every conversation,
+    after planted damage; conversations that lose all rows have zeros."""
+    rows = table(spark, sf, "conversations")
+    found = reports(damaged(rows), Scratch(spark, "op12"))
+    ids = rows.select(F.col("conv_id").cast("long").alias("_conv")).distinct()
+    zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return (ids.join(found, F.col("_conv").eqNullSafe(F.col("conv_id")), "left")
+               .select(F.col("_conv").alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"),
+                       F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
 def op13_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's place, length and checksum as read back from the token
     files written of all documents."""
@@ -124,7 +138,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _shi
     op9_pii_surrogates,
     op10_embedding_dedup,
     op11_fill_in_middle,
+    op12_conversation_repair,
     op13_token_files,
 )}
-
-ORACLES: dict[str, str] = {}
