@@ -1,23 +1,31 @@
-"""Scoring texts with a weighted backoff automaton.
-
-Model: words with additive smoothing at the root; every history of the
-training texts (each word and the begin of a text) is a state whose arcs are
-all its training bigrams, discounted by ``DISCOUNT`` and interpolated with the
-root; every other word is reached over the state's failure arc, whose weight
-is the mass the arcs leave. A traversal runs from left to right, carries the
-state and adds up log10 probabilities. The order is 2; no n-gram is dropped.
-
-At scale: a text task writes blocks of some megabytes of text as word ids
-with the block's vocabulary. Counts of words and arcs (64-bit hashes of word
-pairs) are pre-aggregated per block, summed by Spark, and joined back to the
-blocks that ask for them, as are the numbers of arcs of the histories, so a
-block is scored with just the slice of the automaton its texts can visit; the
-model as a whole is never in one place and nothing of it is broadcast.
+"""Scoring texts with a weighted backoff automaton of order 3.
+
+Model: every n-gram of the training texts is kept. A history of one or two
+tokens that training has seen is a state; its arcs are the tokens that followed
+it, weighted (c + prior * p') / (total + prior), where p' is the token's
+probability one order below; every other token leaves over the failure arc,
+weighted prior / (total + prior), to the state of the history's last token, and
+from there to the root, where words have additive smoothing. The prior mass makes
+the probabilities of a state sum to 1 over the known tokens and one unknown. A
+text is traversed once from left to right: the state after a token is the
+longest known suffix, failure arcs are followed until an arc fits, and log10
+probabilities add up.
+
+At scale: a text task makes blocks of some megabytes of text as word ids with
+the block's vocabulary. The n-grams of a block are sorted distinct 56-bit
+hashes per order; they travel as packed differences, one row per (block, order,
+range of hashes), with their counts in the training texts. A task per range adds
+the counts up over all blocks and answers every row with the totals in the
+row's order, so questions are never written out and no n-gram is a row. Blocks
+and answers meet by block; the model as a whole is never in one place and
+nothing of it is broadcast.
 
 Defined results: a null text is empty and has the end token alone; a null
 ``doc_id`` is scored, not learned from, and not held out; repeated rows count
-as often as they occur; extra columns are ignored; an empty table gives an
-empty result.
+as often as they occur; a text of any length is one piece of one block; extra
+columns are ignored; an empty table gives an empty result. ``docs`` is read
+twice and must give the same rows in the same partitions (a scan of files does,
+also when executors are lost); answers that do not fit a block are an error.
 """
 
 from __future__ import annotations
@@ -33,34 +41,34 @@ from pyspark.sql import functions as F
 from quire.llm.scratch import Scratch
 from quire.llm.textbytes import U64, chunks, mix, mix_int, span_hashes, word_bounds
 
-DISCOUNT = 0.6
+ORDER = 3
+PRIOR = (0.0, 4.0, 4.0)                   # mass that a state leaves to the order below, by order of its arcs
 BLOCK_BYTES = 16 << 20
-BEGIN, END = mix_int(1), mix_int(2)       # as a history, as a word
-BLOCK = ("block long, doc_id array<long>, held_out array<boolean>, learn array<boolean>, n_words array<int>, "
-         "vocabulary array<long>, n_learn array<long>, ids binary")
+RANGE_KEYS = 1 << 21                      # questions that a counting task holds, about
+KEY_BITS = 56
+BEGIN, END = mix_int(1), mix_int(2)       # before the first token, as a token
+BLOCK = ("block long, doc_id array<long>, held_out array<boolean>, learn array<boolean>, n_words array<int>, vocabulary array<long>, ids binary")
+ASKED = "block long, part int, keys binary, counts binary"
+ANSWERED = "block long, part int, totals binary, known long, sum long"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def word_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of texts as word ids: ``docs`` has ``doc_id, held_out, learn,
-    text``. ``n_learn`` counts each word of the block in texts to learn from."""
+    """Blocks of texts as word ids: ``docs`` has ``doc_id, held_out, learn, text``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, number = TaskContext.get().partitionId() << 24, 0
         rows, hashes, sizes, size = [], [], [], 0
 
         def block() -> pa.RecordBatch:
-            words = np.concatenate(hashes)
             n = np.concatenate(sizes)
-            vocabulary, ids = np.unique(words, return_inverse=True)
+            vocabulary, ids = np.unique(np.concatenate(hashes), return_inverse=True)
             part = pa.Table.from_batches(rows).combine_chunks()
-            learn = np.repeat(part["learn"].to_numpy(zero_copy_only=False).astype(bool), n)
-            counts = np.bincount(ids[learn], minlength=len(vocabulary)) if len(ids) else np.zeros(0, np.int64)
             one = lambda a, t: pa.array([a], pa.list_(t))
             return pa.RecordBatch.from_arrays(
                 [pa.array([base + number], pa.int64()), one(part["doc_id"].to_pylist(), pa.int64()), one(part["held_out"].to_pylist(), pa.bool_()),
                  one(part["learn"].to_pylist(), pa.bool_()), one(n.astype(np.int32), pa.int32()), one(vocabulary.view(np.int64), pa.int64()),
-                 one(counts, pa.int64()), pa.array([ids.astype("<u4").tobytes()], pa.binary())],
-                names=["block", "doc_id", "held_out", "learn", "n_words", "vocabulary", "n_learn", "ids"])
+                 pa.array([ids.astype("<u4").tobytes()], pa.binary())],
+                names=["block", "doc_id", "held_out", "learn", "n_words", "vocabulary", "ids"])
 
         for part, data, offs in chunks(batches):
             starts, ends, first = word_bounds(data, offs)
@@ -77,109 +85,141 @@ def word_blocks(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "held_out", "learn", F.col("text").cast("string")).mapInArrow(run, BLOCK)
 
 
-def _arcs_of(ids: np.ndarray, n_words: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every token (words and, per text, one end): the local ids of its word
-    and of the history it is read in (the last local id: end and begin), and
-    its place in the arcs; history and pair hash of every different arc."""
-    lengths = n_words + 1
-    last = np.cumsum(lengths) - 1
-    edge = len(vocabulary)
-    token = np.full(int(lengths.sum()), edge, np.int64)
+def token_keys(ids: np.ndarray, n_words: np.ndarray, vocabulary: np.ndarray) -> list[np.ndarray]:
+    """Per order, the key of the n-gram that ends in each token (words and, per
+    text, one end) of a block; before a text stands BEGIN. A text's first token
+    has no n-gram of order 3 and is given one that no n-gram shares."""
+    last = np.cumsum(n_words + 1) - 1
+    first = last - n_words
+    token = np.empty(int((n_words + 1).sum()), U64)
     is_word = np.ones(len(token), bool)
     is_word[last] = False
-    token[is_word] = ids
-    state = np.empty_like(token)
-    state[1:] = token[:-1]           # an end is followed by a begin
-    state[:1] = edge
-    pairs, place = np.unique(state * (edge + 1) + token, return_inverse=True)
-    histories = np.append(vocabulary.view(U64), U64(BEGIN))[pairs // (edge + 1)]
-    words = np.append(vocabulary.view(U64), U64(END))[pairs % (edge + 1)]
-    return token, state, place, histories.view(np.int64), mix(histories * U64(0x9E3779B97F4A7C15) + words).view(np.int64)
-
-
-def arc_counts(blocks: DataFrame) -> DataFrame:
-    """``block, history, arc, n``: arcs that occur in a block, with their count
-    in texts to learn from."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                n_words = np.asarray(row["n_words"][0].values)
-                vocabulary = np.asarray(row["vocabulary"][0].values)
-                learn = np.asarray(row["learn"][0].values).astype(bool)
-                ids = np.frombuffer(row["ids"][0].as_py(), "<u4")
-                _, _, place, histories, arcs = _arcs_of(ids, n_words, vocabulary)
-                counts = np.bincount(place[np.repeat(learn, n_words + 1)], minlength=len(arcs))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(arcs), row["block"][0].as_py())), pa.array(histories), pa.array(arcs), pa.array(counts)],
-                                                 names=["block", "history", "arc", "n"])
+    token[is_word] = vocabulary.view(U64)[ids]
+    token[last] = U64(END)
+    before = np.empty_like(token)
+    before[1:] = token[:-1]
+    before[first] = U64(BEGIN)
+    earlier = np.empty_like(token)
+    earlier[1:] = before[:-1]
+    earlier[first] = U64(0)
+    pair = mix(before * U64(0x9E3779B97F4A7C15) + token)
+    triple = mix(mix(earlier * U64(0xC2B2AE3D27D4EB4F) + before) * U64(0x9E3779B97F4A7C15) + mix(token + U64(3)))
+    return [k >> U64(64 - KEY_BITS) for k in (mix(token), pair, triple)]
+
+
+def packed(sorted_numbers: np.ndarray) -> bytes:
+    """Non-negative integers as a width byte and that many bytes of each."""
+    width = max(1, (int(sorted_numbers.max()).bit_length() + 7) // 8) if len(sorted_numbers) else 1
+    return bytes([width]) + np.ascontiguousarray(sorted_numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    width = data[0]
+    out = np.zeros(((len(data) - 1) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    return out.view("<u8").ravel()
 
-    return blocks.select("block", "n_words", "learn", "vocabulary", "ids").mapInArrow(run, "block long, history long, arc long, n long")
 
+def _row(batch: pa.RecordBatch, i: int) -> dict:
+    return {name: batch.column(j)[i] for j, name in enumerate(batch.schema.names)}
 
-def arc_replies(asked: DataFrame) -> DataFrame:
-    """``block, key, c, history``: the summed count of every trained arc for each
-    block that asks for it; one of them (the least block) carries the history.
-    ``asked`` is dealt out by arc once; the sums and the rows read the same
-    exchange."""
-    dealt = asked.repartition("arc")
-    sums = dealt.groupBy("arc").agg(F.sum("n").alias("c"), F.min("block").alias("least")).where("c > 0")
-    return dealt.join(sums, "arc").select("block", F.col("arc").alias("key"), "c", F.when(F.col("block") == F.col("least"), F.col("history")).alias("history"))
+
+def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(row["ids"].as_buffer(), "<u4"), np.asarray(row["n_words"].values).astype(np.int64), np.asarray(row["vocabulary"].values)
+
+
+def questions(blocks: DataFrame, range_bits: int) -> DataFrame:
+    """The sorted distinct keys of every block, by order and range (``part``),
+    packed as differences, with their counts in texts to learn from."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = _row(batch, i)
+                ids, n_words, vocabulary = _arrays(row)
+                learn = np.repeat(np.asarray(row["learn"].values).astype(bool), n_words + 1)
+                out = []
+                for order, keys in enumerate(token_keys(ids, n_words, vocabulary)):
+                    distinct, place = np.unique(keys, return_inverse=True)
+                    counts = np.bincount(place[learn], minlength=len(distinct))
+                    cuts = np.searchsorted(distinct >> U64(KEY_BITS - range_bits), np.arange((1 << range_bits) + 1, dtype=U64))
+                    out += [((order << range_bits) + r, packed(np.diff(distinct[a:b], prepend=U64(0))), packed(counts[a:b]))
+                            for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a]
+                parts, keys, counts = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array([row["block"].as_py()] * len(out), pa.int64()), pa.array(parts, pa.int32()), pa.array(keys, pa.binary()),
+                                                  pa.array(counts, pa.binary())], names=["block", "part", "keys", "counts"])
+
+    return blocks.select("block", "learn", "n_words", "vocabulary", "ids").mapInArrow(run, ASKED)
+
+
+def answers(asked: DataFrame) -> DataFrame:
+    """``block, part, totals``: the summed counts of every row's keys in the row's
+    order. The first row of a part also has how many keys training knows and the
+    sum of their counts."""
+    def run(rows: pa.Table) -> pa.Table:
+        keys = [np.cumsum(unpacked(k.as_py())) for k in rows["keys"]]
+        ends = np.cumsum([len(k) for k in keys])
+        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+        totals = np.zeros(len(distinct), np.int64)
+        np.add.at(totals, place, np.concatenate([unpacked(c.as_py()) for c in rows["counts"]]).astype(np.int64))
+        replies = [packed(totals[p]) for p in np.split(place, ends[:-1])]
+        once = lambda v: pa.array([v] + [0] * (len(replies) - 1), pa.int64())
+        return pa.table({"block": rows["block"], "part": rows["part"], "totals": pa.array(replies, pa.binary()),
+                         "known": once(int((totals > 0).sum())), "sum": once(int(totals.sum()))})
+
+    return asked.groupBy("part").applyInArrow(run, ANSWERED)
+
+
+def log_scores(keys: list[np.ndarray], counts: list[np.ndarray], n_words: np.ndarray, tokens: int, types: int, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probabilities of every token at the root, and in its state: arcs
+    fitting the longest known suffix, or what the failure arcs leave."""
+    first = np.cumsum(n_words + 1) - (n_words + 1)
+    root = (counts[0] + 0.5) / (tokens + 0.5 * (types + 1))
+    # how often training has been in the state of one token, and of two
+    one = np.empty_like(counts[0])
+    one[1:] = counts[0][:-1]
+    one[first] = texts
+    two = np.empty_like(counts[1])
+    two[1:] = counts[1][:-1]
+    two[first] = 0
+    p = root
+    for state, arc, prior in ((one, counts[1], PRIOR[1]), (two, counts[2], PRIOR[2])):
+        p = np.where(state > 0, (np.where(state > 0, arc, 0) + prior * p) / (state + prior), p)
+    return np.log10(root), np.log10(p)
 
 
 def score_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``
     for every row of ``docs`` (``doc_id, held_out, learn, text``)."""
-    blocks = scratch.keep(word_blocks(docs), "blocks")
-    asked = blocks.select("block", F.explode(F.arrays_zip("vocabulary", "n_learn")).alias("x")).select("block", F.col("x.vocabulary").alias("key"), F.col("x.n_learn").alias("n"))
-    words = scratch.keep(asked.groupBy("key").agg(F.sum("n").alias("c")).where("c > 0"), "words")
-    texts = blocks.select(F.explode("learn").alias("learn")).where("learn").count()
-    total, distinct = words.agg(F.sum("c"), F.count(F.lit(1))).first()
-    tokens, types = (total or 0) + texts, distinct + (texts > 0)
-    arcs_asked = scratch.keep(arc_counts(blocks), "arcs-asked")
-    arcs = scratch.keep(arc_replies(arcs_asked), "arcs")
-    scratch.drop(arcs_asked)
-    # every token of a history has an arc: its failure weight is DISCOUNT * arcs / tokens
-    successors = scratch.keep(arcs.where("history is not null").groupBy(F.col("history").alias("key")).agg(F.count(F.lit(1)).alias("successors")), "successors")
-    begin = successors.where(F.col("key") == F.lit(int(np.uint64(BEGIN).view(np.int64)))).first()
-    begins = begin["successors"] if begin else 0
-    floor = tokens + 0.5 * (types + 1)
-    known = words.join(successors, "key", "left").select("key", "c", F.coalesce("successors", F.lit(0)).alias("successors"))
-    replies = (asked.select("block", "key").join(known, "key").select("block", "key", "c", "successors")
-                    .unionByName(arcs.select("block", "key", "c", F.lit(None).cast("long").alias("successors"))))
-
-    def traverse(_, left_part: pa.Table, right_part: pa.Table) -> pa.Table:
-        row = {name: left_part[name][0] for name in left_part.column_names}
-        n_words = np.asarray(row["n_words"].values)
-        vocabulary = np.asarray(row["vocabulary"].values)
-        ids = np.frombuffer(row["ids"].as_py(), "<u4")
-        is_arc = right_part["successors"].is_null().to_numpy()
-        key, c = right_part["key"].to_numpy(), right_part["c"].to_numpy()
-        follow = right_part["successors"].fill_null(0).to_numpy()
-
-        def lookup(keys, wanted, *values):
-            if not len(keys):
-                return [np.zeros(len(wanted)) for _ in values]
-            order = np.argsort(keys)
-            keys = keys[order]
-            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            return [np.where(keys[at] == wanted, v[order][at], 0).astype(np.float64) for v in values]
-
-        count, arcs_out = lookup(key[~is_arc], vocabulary, c[~is_arc], follow[~is_arc])
-        count = np.append(count, float(texts))     # the last: the end token as a word, the begin as a history
-        arcs_out = np.append(arcs_out, float(begins))
-        root = np.log10((count + 0.5) / floor)
-        seen = np.maximum(count, 1)
-        left = np.where(count > 0, DISCOUNT * arcs_out / seen, 1.0)
-        token, state, place, _, pairs = _arcs_of(ids, n_words, vocabulary)
-        arc = lookup(key[is_arc], pairs, c[is_arc])[0][place]
-        base = root[token]
-        logs = np.log10(np.maximum(arc - DISCOUNT, 0) / seen[state] + left[state] * 10.0 ** base)
-        begin = np.cumsum(n_words + 1) - (n_words + 1)
-        known = np.add.reduceat((count[token] > 0).astype(np.int64), begin)
+    blocks = word_blocks(docs)
+    size, texts = docs.agg(F.sum(F.octet_length("text")), F.count(F.when(F.col("learn"), 1))).first()
+    # about one distinct n-gram per order in seven bytes of text
+    range_bits = max(4, ((size or 0) // 7 // RANGE_KEYS).bit_length())
+    replies = scratch.keep(answers(questions(blocks, range_bits)), "answers")
+    types, tokens = replies.where(F.shiftright("part", range_bits) == 0).agg(F.sum("known"), F.sum("sum")).first()
+    tokens, types = tokens or 0, types or 0
+
+    def traverse(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            raise ValueError("answers for a block that is not there: the documents were read differently the second time")
+        row = {name: left[name][0] for name in left.column_names}
+        ids, n_words, vocabulary = _arrays(row)
+        parts = right["part"].to_numpy()
+        keys = token_keys(ids, n_words, vocabulary)
+        counts = []
+        for order, k in enumerate(keys):
+            distinct, place = np.unique(k, return_inverse=True)
+            mine = [right["totals"][int(i)].as_py() for i in np.flatnonzero(parts >> range_bits == order)[np.argsort(parts[parts >> range_bits == order])]]
+            totals = np.concatenate([unpacked(t) for t in mine]).astype(np.float64) if mine else np.zeros(0)
+            if len(totals) != len(distinct):
+                raise ValueError("answers do not fit the block: the documents were read differently the second time")
+            counts.append(totals[place])
+        base, logs = log_scores(keys, counts, n_words, tokens, types, texts)
+        first = np.cumsum(n_words + 1) - (n_words + 1)
         return pa.table({"doc_id": pa.array(row["doc_id"].as_py(), pa.int64()), "held_out": pa.array(row["held_out"].as_py(), pa.bool_()),
-                         "n_tokens": pa.array((n_words + 1).astype(np.int64)), "n_known": pa.array(known),
-                         "base_score": pa.array(np.add.reduceat(base, begin)), "score": pa.array(np.add.reduceat(logs, begin))})
+                         "n_tokens": pa.array(n_words + 1), "n_known": pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), first)),
+                         "base_score": pa.array(np.add.reduceat(base, first)), "score": pa.array(np.add.reduceat(logs, first))})
 
     payload = blocks.select("block", "doc_id", "held_out", "n_words", "vocabulary", "ids")
-    scored = payload.groupBy("block").cogroup(replies.withColumn("to", F.col("block") + 0).drop("block").groupBy("to")).applyInArrow(traverse, SCORES)
+    reply = replies.select(F.col("block").alias("to"), "part", "totals")
+    scored = payload.groupBy("block").cogroup(reply.groupBy("to")).applyInArrow(traverse, SCORES)
     return scored.withColumn("train_tokens", F.lit(tokens).cast("long"))
