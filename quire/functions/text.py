@@ -38,6 +38,9 @@ TOPIC_NUMBER_WIDTH = 3
 # same class works in Java regex and RE2.
 BLANK_CLASS = (r"[\t\n\x{0B}\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}"
                r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# The same characters one by one.
+BLANKS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                           0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 # A word is a run of letters and digits.
 WORD_PATTERN = r"[\p{L}\p{N}]+"
 
@@ -120,10 +123,38 @@ class Profile:
     def sequence(self, text: Column | str) -> Column:
         if self.name == "word":
             return word_tokens(text)
-        # Fold every blank to one space first (one regex pass over the
-        # string) so the per-character test below is a plain comparison.
-        folded = F.regexp_replace(clean_field(text, self.marks), BLANK_CLASS, " ")
-        return char_split(folded)
+        # Every blank is a space first, so the per-character test below is a
+        # plain comparison.
+        return char_split(self.folded(text))
+
+    def gram_runs(self, text: Column | str) -> Column:
+        """CHAR texts: every character with the one after it, sorted and joined to
+        one string. A blank ends the text. See :meth:`run_strings`."""
+        pairs = F.regexp_extract_all(F.concat(self.folded(text), F.lit(" ")), F.lit(r"(?s)(?=([^ ].))[^ ]"), F.lit(1))
+        return F.array_join(F.sort_array(pairs), "")
+
+    def run_strings(self, ordered: Column, orders: tuple[int, ...] = (1, 2)) -> Column:
+        """One string per distinct gram of :meth:`gram_runs`: the gram as often as
+        it occurs, a unigram with a blank behind it. Equal grams stand side by
+        side, so a group and its repeats match a whole run: grams are counted
+        inside the row and a document's occurrences never become rows."""
+        runs = {1: (F.regexp_replace(ordered, r"(?s)(.).", "$1 "), r"(?s)(. )\1*"), 2: (ordered, r"([^ ][^ ])\1*")}
+        parts = [F.regexp_extract_all(runs[n][0], F.lit(runs[n][1]), F.lit(0)) for n in orders]
+        return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+    def run_gram(self, run: Column) -> list[Column]:
+        """``n, t1, t2, tf`` of one of the :meth:`run_strings`."""
+        two = ~run.endswith(" ")
+        t1, last = F.left(run, F.lit(1)), F.substring(run, 2, 1)
+        unit = F.octet_length(t1) + F.octet_length(last)
+        return [F.when(two, 2).otherwise(1).alias("n"), t1.alias("t1"), F.when(two, last).otherwise(NO_TERM).alias("t2"),
+                (F.octet_length(run) / unit).cast("long").alias("tf")]
+
+    def folded(self, text: Column | str) -> Column:
+        """CHAR text with marks and control characters deleted and every blank a
+        space, in one pass."""
+        blanks = "".join(c for c in BLANKS if c not in CONTROL_CHARS and c not in self.marks)
+        return F.translate(_c(text), blanks + self.marks + CONTROL_CHARS, " " * len(blanks))
 
     def has_blanks(self) -> bool:
         return self.name != "word"

@@ -24,14 +24,13 @@ markers never match; public accessors filter them out.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import weights as W
 from quire.functions.text import Profile, profile_named
-from quire.operators.bounded import n_slices, sliced_join, slices
+from quire.operators.bounded import n_slices, sliced_join
 from quire.session import ensure_checkpoint_dir
 
 TERM_KEYS = ["n", "t1", "t2"]
@@ -71,10 +70,52 @@ def explode_grams(seqs: DataFrame, profile: Profile, keep: list[str],
     return out if cond is None else out.where(cond)
 
 
+def counted_grams(read: DataFrame, profile: Profile, orders: tuple[int, ...] = (1, 2)) -> DataFrame:
+    """``doc_id, dl, n, t1, t2, tf`` and the length markers of ``doc_id, text``.
+
+    Characters repeat a lot within a text and are counted inside the row; word
+    grams mostly stand alone (``tf`` 1) and are left to the partial aggregate of
+    :func:`postings_from_grams`."""
+    if not profile.has_blanks():
+        return explode_grams(document_sequences(read, profile), profile, ["doc_id", "dl"], orders, marker=True).withColumn("tf", F.lit(1).cast("long"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    ordered = read.select("doc_id", profile.gram_runs(text).alias("ordered"))
+    rows = (ordered.select("doc_id", (F.length("ordered") / 2).cast("long").alias("dl"), profile.run_strings(F.col("ordered"), orders).alias("runs"))
+                   .select("doc_id", "dl", F.explode_outer(F.concat("runs", F.array(F.lit("")))).alias("run")))
+    n, t1, t2, tf = profile.run_gram(F.col("run"))
+    marker = F.col("run") == ""
+    return rows.select("doc_id", "dl", F.when(marker, MARKER_N).otherwise(n).alias("n"), t1, F.when(marker, "").otherwise(t2).alias("t2"),
+                       F.when(marker, F.lit(1).cast("long")).otherwise(tf).alias("tf"))
+
+
 def postings_from_grams(grams: DataFrame) -> DataFrame:
     """tf per (term, document): partial + final hash aggregate (A1, A2)."""
     return (grams.groupBy(*TERM_KEYS, "doc_id", "dl")
-                 .agg(F.count(F.lit(1)).alias("tf")))
+                 .agg(F.sum("tf").alias("tf")))
+
+
+def vocab_postings(docs: DataFrame, vocab: DataFrame, profile: Profile | str = "word", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Postings ``n, t1, t2, doc_id, tf`` of vocabulary ids (T6-T8 over a
+    collection); ``vocab(term, term_id)``, ids of 0 or less unknown.
+
+    Grams are formed and counted where the texts are read, so neighbours are
+    neighbours in the text and a gram with an unknown word finds no partner:
+    what meets the vocabulary is one row per document and distinct gram, never
+    a token. The ids of the most frequent terms are broadcast
+    (``HOT_TERMS``); the other grams are joined with the vocabulary by term."""
+    counted = Index.from_documents(docs, profile, (1, 2), id_col, text_col).materialized().postings.select(*TERM_KEYS, "doc_id", "tf")
+    terms = vocab.select("term", F.col("term_id").cast("int").alias("term_id")).where("term_id > 0")
+    frequent = counted.where("n = 1").groupBy(F.col("t1").alias("term")).agg(F.count(F.lit(1)).alias("df")).orderBy(F.col("df").desc(), "term").limit(HOT_TERMS)
+    hot = frequent.join(terms, "term", "left").select("term", F.coalesce("term_id", F.lit(0)).alias("term_id")).checkpoint(eager=True)
+
+    def known(grams: DataFrame, column: str) -> DataFrame:
+        marked = grams.join(F.broadcast(hot.select(F.col("term").alias(column), F.col("term_id").alias("_id"))), column, "left")
+        cold = marked.where("_id is null").drop("_id").join(terms.select(F.col("term").alias(column), F.col("term_id").alias("_id")), column)
+        return marked.where("_id > 0").unionByName(cold).drop(column).withColumnRenamed("_id", column)
+
+    unigrams = known(counted.where("n = 1").drop("t2"), "t1").withColumn("t2", F.lit(-1))
+    bigrams = known(known(counted.where("n = 2"), "t1"), "t2")
+    return unigrams.unionByName(bigrams).select(*TERM_KEYS, "doc_id", "tf")
 
 
 def doc_freq(postings: DataFrame) -> DataFrame:
@@ -124,36 +165,33 @@ class Index:
                        text_col: str = "text", restrict_to: DataFrame | None = None) -> "Index":
         """Tokenize ``docs`` (one pass) and aggregate postings.
 
-        ``restrict_to`` (``n, t1, t2`` rows) keeps only grams of those terms
-        and the length markers: a search needs nothing else. Texts are then
-        tokenized where they are read, filtered against broadcast slices of
-        the terms, and only the surviving grams are dealt out by document.
+        Texts are tokenized where they are read and their grams counted
+        there: the partial aggregate by (term, document) stands below the
+        exchange, so what moves is one row per distinct gram of a document,
+        never an occurrence and never a text. ``restrict_to`` (``n, t1, t2``
+        rows) keeps only grams of those terms and the length markers - a
+        search needs nothing else - and drops the others before they are
+        counted. Terms beyond one broadcast slice are looked up slice by
+        slice among counted rows that are written once.
         """
         profile = profile_named(profile)
         listed = docs.select(long_col(docs, id_col, "doc_id"))
         read = docs.select(long_col(docs, id_col, "doc_id"), F.col(text_col).alias("text"))
-        lengths = document_sequences(read, profile, "doc_id", "text").select("doc_id", "dl")
-        if restrict_to is not None:
-            seqs = document_sequences(read, profile, "doc_id", "text")
-            keep = restrict_to.select(*TERM_KEYS).distinct()
-            parts = []
-            for i, part in enumerate(slices(keep, TERM_KEYS, n_slices(keep, ["t1", "t2"]))):
-                # the markers pass by the join, with the first slice only
-                grams = explode_grams(seqs, profile, ["doc_id", "dl"], orders, marker=i == 0)
-                flagged = grams.join(part.withColumn("_kept", F.lit(True)), TERM_KEYS, "left")
-                parts.append(flagged.where(F.col("_kept") | (F.col("n") == MARKER_N)).drop("_kept"))
-            grams = reduce(DataFrame.unionByName, parts).repartition("doc_id")
+        grams = counted_grams(read, profile, orders)
+        lengths = document_sequences(read, profile).select("doc_id", "dl")
+        if restrict_to is None:
             return cls(postings_from_grams(grams), listed, profile, True, True, lengths=lengths)
-        # Full build: documents are spread by id before tokenizing: it runs on
-        # every core whatever the input's file/row-group layout, and all
-        # grams of a document stay in one partition, so the postings
-        # aggregate, the broadcast match join and the per-(topic, document)
-        # score aggregate all run without another shuffle. The shuffled
-        # volume is the raw text, which is smaller than its exploded grams.
-        spread = read.repartition("doc_id")
-        seqs = document_sequences(spread, profile, "doc_id", "text")
-        grams = explode_grams(seqs, profile, ["doc_id", "dl"], orders, marker=True)
-        return cls(postings_from_grams(grams), listed, profile, True, True, lengths=lengths)
+        keep = restrict_to.select(*TERM_KEYS).distinct()
+        n = n_slices(keep, ["t1", "t2"])
+        if n == 1:
+            flagged = grams.join(F.broadcast(keep.withColumn("_kept", F.lit(True))), TERM_KEYS, "left")
+            postings = postings_from_grams(flagged.where(F.col("_kept") | (F.col("n") == MARKER_N)))
+        else:
+            ensure_checkpoint_dir(docs.sparkSession)
+            counted = postings_from_grams(grams).checkpoint(eager=True)
+            markers = counted.where(F.col("n") == MARKER_N)
+            postings = sliced_join(counted, keep, TERM_KEYS, n, "left_semi").unionByName(markers)
+        return cls(postings, listed, profile, True, True, lengths=lengths)
 
     @classmethod
     def from_postings(cls, postings: DataFrame, listed_docs: DataFrame) -> "Index":

@@ -7,10 +7,13 @@ id, so ``row_number() <= k`` keeps k rows per topic and partition before any
 (topic, document) row is shuffled. Zeros are added to that short list.
 
 An unmatched document reaches a topic's top k only as one of the first k
-unmatched documents by id. They are looked for among the listed documents in
-id order, ``k`` at a time: documents that a topic matches (other than with 0)
-are taken out, and only topics that still lack zeros look further. With
-non-negative scores the first k documents always suffice.
+unmatched documents by id. With non-negative scores these are among the first
+k documents. With negative scores they may stand anywhere, and are found by
+counting gaps: documents are numbered by id (slots), the i-th matched slot of
+a topic has (slot - i) unmatched slots before it, and so the j-th unmatched
+slot is j plus the number of matched slots whose gap count is at most j. Slots
+are counted in runs first, so only runs that begin before the k-th gap are
+looked at, and no window holds more than one run of a topic.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from pyspark.sql import functions as F
 from quire.session import ensure_checkpoint_dir
 from quire.sources.positional import ordered_ids
 
+RUN_SLOTS = 1 << 16     # slots that a window of one topic holds
+
 
 def top_k(scores: DataFrame, k: int) -> DataFrame:
     """``row_number`` over (topic, score desc, doc_id asc) <= k."""
@@ -39,37 +44,50 @@ def first_docs(listed: DataFrame, width: int) -> DataFrame:
     return head.withColumn("slot", F.row_number().over(Window.orderBy("doc_id")) - 1)
 
 
-def _zeros(topic_ids: DataFrame, numbered: DataFrame, matched: DataFrame, lo: int, k: int) -> DataFrame:
-    """``topic_id, doc_id`` of the documents at slots ``lo .. lo + k - 1`` that a
-    topic does not match."""
-    slots = topic_ids.select("topic_id", F.explode(F.sequence(F.lit(lo), F.lit(lo + k - 1))).alias("slot"))
-    here = slots.join(numbered.where((F.col("slot") >= lo) & (F.col("slot") < lo + k)), "slot").select("topic_id", "doc_id")
-    return here.join(matched.where(F.col("score") != 0).select("topic_id", "doc_id"), ["topic_id", "doc_id"], "left_anti")
+def first_gaps(topic_ids: DataFrame, numbered: DataFrame, matched: DataFrame, k: int) -> DataFrame:
+    """``topic_id, doc_id`` of each topic's first ``k`` documents by slot that are
+    not among its ``matched`` (``topic_id, doc_id``, each pair once). The number
+    of jobs does not depend on the documents."""
+    placed = (matched.join(numbered, "doc_id")
+                     .select("topic_id", F.col("slot").cast("long").alias("slot"), F.expr(f"slot div {RUN_SLOTS}").alias("run")).checkpoint(eager=True))
+    earlier = Window.partitionBy("topic_id").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = (placed.groupBy("topic_id", "run").agg(F.count(F.lit(1)).alias("n"))
+                  .select("topic_id", "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+                  .where(F.col("run") * RUN_SLOTS - F.col("before") < k))
+    inside = Window.partitionBy("topic_id", "run").orderBy("slot")
+    gaps = (placed.join(runs, ["topic_id", "run"])
+                  .select("topic_id", (F.col("slot") - F.col("before") - F.row_number().over(inside) + 1).alias("gap"))
+                  .where(F.col("gap") < k).groupBy("topic_id", "gap").agg(F.count(F.lit(1)).alias("n")))
+    upto = Window.partitionBy("topic_id").orderBy("gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wanted = topic_ids.select("topic_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long"))).alias("gap"))
+    slots = (wanted.join(gaps, ["topic_id", "gap"], "left")
+                   .select("topic_id", (F.col("gap") + F.sum(F.coalesce("n", F.lit(0))).over(upto)).alias("slot")))
+    return slots.join(numbered, "slot").select("topic_id", "doc_id")
 
 
 def ranked_with_zeros(scores: DataFrame, topic_ids: DataFrame, listed: DataFrame, k: int, nonnegative: bool) -> DataFrame:
     """Top ``k`` of all listed documents per topic. ``scores`` holds the matched
-    pairs; ``nonnegative`` says that no score can be below 0."""
+    pairs; ``nonnegative`` says that no score can be below 0.
+
+    The matched pairs are ranked and written once (``k`` rows per topic). Zeros
+    concern the topics with fewer than ``k`` positive scores only; without
+    negative scores all matched pairs of such a topic stand in its short list,
+    so the scores are not computed again."""
+    ensure_checkpoint_dir(topic_ids.sparkSession)
+    matched = scores.where(F.col("score") != 0)
+    if not nonnegative:
+        matched = matched.checkpoint(eager=True)
+    top = top_k(matched, k).drop("rank").checkpoint(eager=True)
+    filled = top.where(F.col("score") > 0).groupBy("topic_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    lacking = topic_ids.join(filled, "topic_id", "left_anti").select("topic_id")
     score = F.lit(0.0).alias("score")
     if nonnegative:
-        numbered = first_docs(listed, k)
-        # matches among the first k documents only
-        near = scores.join(F.broadcast(numbered.select("doc_id")), "doc_id", "left_semi")
-        zeros = _zeros(topic_ids, F.broadcast(numbered), near, 0, k).select("topic_id", "doc_id", score)
+        numbered = F.broadcast(first_docs(listed, k))
+        slots = lacking.select("topic_id", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("slot"))
+        first = slots.join(numbered, "slot").select("topic_id", "doc_id")
+        zeros = first.join(top.select("topic_id", "doc_id"), ["topic_id", "doc_id"], "left_anti").select("topic_id", "doc_id", score)
     else:
-        ensure_checkpoint_dir(topic_ids.sparkSession)
-        numbered = ordered_ids(listed.select("doc_id"), ["doc_id"], "slot").checkpoint(eager=True)
-        scores = scores.checkpoint(eager=True)
-        n_docs, lo, open_topics, zeros = numbered.count(), 0, topic_ids, None
-        while lo < n_docs:
-            found = _zeros(open_topics, numbered, scores, lo, k).select("topic_id", "doc_id", score).checkpoint(eager=True)
-            zeros = found if zeros is None else zeros.unionByName(found)
-            filled = zeros.groupBy("topic_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select("topic_id")
-            open_topics = topic_ids.join(filled, "topic_id", "left_anti").checkpoint(eager=True)
-            lo += k
-            if open_topics.isEmpty():
-                break
-        if zeros is None:
-            return top_k(scores, k)
+        numbered = ordered_ids(listed.select("doc_id").distinct(), ["doc_id"], "slot").select("doc_id", "slot").checkpoint(eager=True)
+        zeros = first_gaps(lacking, numbered, matched.join(lacking, "topic_id", "left_semi"), k).select("topic_id", "doc_id", score)
     # a matched pair that scores exactly 0 also stands among the zeros
-    return top_k(top_k(scores.where(F.col("score") != 0), k).drop("rank").unionByName(zeros), k)
+    return top_k(top.unionByName(zeros), k)

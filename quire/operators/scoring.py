@@ -26,16 +26,19 @@ def query_stats(index: Index, qterms: DataFrame) -> DataFrame:
     return qterms.join(index.terms_all.select(*TERM_KEYS, "df"), TERM_KEYS)
 
 
-def match(index: Index, qstats: DataFrame, n: int) -> DataFrame:
+def match(index: Index, qstats: DataFrame, n: int, docs: DataFrame | None = None) -> DataFrame:
     """Topic terms meet postings on the term (J1): every column of
     ``qstats`` plus ``doc_id, tf, dl``.
 
     ``qstats`` cannot outgrow the weighed topic terms and is broadcast in
     ``n`` slices: the postings are never shuffled by term, so a hot term
     never piles up in one partition. They are dealt out by document, so
-    every later sum per (topic, document) is local.
+    every later sum per (topic, document) is local. With ``docs`` (``doc_id``,
+    each once) only the postings of those documents are matched.
     """
-    return sliced_join(index.postings_all.repartition("doc_id"), qstats, TERM_KEYS, n)
+    if docs is None:
+        return sliced_join(index.postings_all.repartition("doc_id"), qstats, TERM_KEYS, n)
+    return sliced_join(sliced_join(index.postings_all, docs, ["doc_id"], n_slices(docs, []), "left_semi"), qstats, TERM_KEYS, n)
 
 
 def vsm_factors(qstats: DataFrame, n_docs: Column, n_topics: Column,

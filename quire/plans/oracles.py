@@ -175,6 +175,9 @@ SELECT right(regexp_replace(lpad(CAST(r.topic_id AS VARCHAR), 3, '0'), '^{BLANK_
 FROM ranked r JOIN documents d ON d.doc_id = r.doc_id WHERE r.rank <= {K}"""
 
 
+JUDGED = "SELECT DISTINCT b.item_id AS topic_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)"
+CUTOFF = 10
+
 ORACLES: dict[str, str] = {
     "strip_control": f"SELECT doc_id, translate(text, {CTRL}, '') AS clean FROM documents",
     "strip_punct": f"SELECT doc_id, translate({_marked('text')}, '{FULLWIDTH_MARKS}', '') AS clean FROM documents",
@@ -253,4 +256,12 @@ SELECT s.topic_id, s.doc_id, round(s.num / nrm.l2, 6) AS score FROM (
   WHERE qtf.n = 1 GROUP BY qtf.topic_id, post.doc_id) s
 JOIN nrm ON nrm.doc_id = s.doc_id AND nrm.n = 1 WHERE nrm.l2 > 0)) WHERE rank <= {K}""",
     "label_run": LABEL,
+    "judgments": JUDGED,
+    "eval_map": f"""WITH run AS ({O.dense_vsm_sql("word", K)}), judged AS ({JUDGED}),
+each AS (SELECT j.topic_id, count(*) AS relevant, count(*) FILTER (r.rank <= {CUTOFF}) AS found,
+           coalesce(sum((SELECT count(*) FROM run o JOIN judged p ON o.topic_id = p.topic_id AND o.doc_id = p.doc_id
+                         WHERE o.topic_id = r.topic_id AND o.rank <= r.rank) / r.rank::DOUBLE), 0) / count(*) AS ap
+         FROM judged j LEFT JOIN run r ON r.topic_id = j.topic_id AND r.doc_id = j.doc_id GROUP BY j.topic_id)
+SELECT topic_id, relevant, found, round(found / {CUTOFF}, 6) AS precision, round(found / relevant, 6) AS recall,
+       round(ap, 6) AS average_precision, round(avg(ap) OVER (), 6) AS mean_average_precision FROM each""",
 }

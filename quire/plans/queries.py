@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.functions import weights as W
 from quire.operators import scoring as S
-from quire.operators.index import Index
+from quire.operators.index import Index, vocab_postings
 from quire.operators.ranking import top_k
 from quire.operators.topics import (TopicBatch, fields_from_table, field_grams, split_concepts,
                                     vocab_grams, vocab_sequence)
+from quire.operators.evaluation import average_precision, containing
 from quire.plans.search import Search, search, search_legacy
 from quire.sources.positional import ordered_ids
 from quire.sources.sinks import label_run
@@ -27,6 +28,7 @@ from quire.sources.tables import table
 
 K = 100          # documents per topic in the full searches
 TOPK_K = 10      # the plain top-k operator
+CUTOFF = 10      # precision and recall are taken at this rank
 LATIN_CONCEPT_DELIMITER = ","   # concept separator used for the Latin-script topics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -316,8 +318,7 @@ def q_search_vocab_ids(spark, sf):
     """Topics as vocabulary ids against postings of ids (the form of inverted
     files); words outside the vocabulary break bigrams."""
     vocab = _vocab(spark, sf)
-    docs = vocab_grams(vocab_sequence(fields_from_table(_docs(spark, sf), "doc_id", "text"), vocab, T.WORD))
-    postings = docs.groupBy("n", "t1", "t2", F.col("topic_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("tf"))
+    postings = vocab_postings(_docs(spark, sf), vocab, T.WORD)
     topics = TopicBatch.from_vocabulary(fields_from_table(table(spark, sf, "benchmark"), "item_id", "text"), vocab, T.WORD)
     return search(Index.from_postings(postings, _docs(spark, sf).select("doc_id")).materialized(), topics, k=K)
 
@@ -353,7 +354,24 @@ def q_label_run(spark, sf):
     return label_run(run, numbers, paths).select("topic_no", "rank", "doc_key")
 
 
+def _judged(spark, sf) -> DataFrame:
+    """Derived judgments: a document is relevant to the topics whose text it holds."""
+    return containing(_docs(spark, sf), fields_from_table(table(spark, sf, "benchmark"), "item_id", "text").select("topic_id", "text"))
+
+
+def q_judgments(spark, sf):
+    return _judged(spark, sf)
+
+
+def q_eval_map(spark, sf):
+    judged = _judged(spark, sf).checkpoint(eager=True)
+    measured = average_precision(q_search(spark, sf), judged, CUTOFF)
+    return measured.select("topic_id", "relevant", "found", *[_r6(F.col(c)).alias(c) for c in ("precision", "recall", "average_precision", "mean_average_precision")])
+
+
 QUERIES: dict[str, Query] = {
+    "judgments": q_judgments,
+    "eval_map": q_eval_map,
     "strip_control": q_strip_control,
     "strip_punct": q_strip_punct,
     "char_unigrams": q_char_unigrams,

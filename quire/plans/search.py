@@ -100,7 +100,11 @@ class Search:
         return self.rank(self.scores(self.contributions(nonzero=True)), k)
 
     def feedback_terms(self, nonzero: bool = False) -> DataFrame:
-        return S.feedback_terms(self.contributions(nonzero), self.feedback_docs())
+        """Looked up in the postings of the feedback documents alone, a few per
+        topic, so the collection is not matched again for them."""
+        docs = self.feedback_docs().select("topic_id", "doc_id").checkpoint(eager=True)
+        found = S.match(self.index, self.factors(nonzero), self.n_slices, docs.select("doc_id").distinct())
+        return S.feedback_terms(found, docs)
 
     def boosted(self, nonzero: bool = False) -> DataFrame:
         """Contributions with the feedback terms' factors doubled."""
