@@ -30,16 +30,16 @@ ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 ALPHA = 0.5                    # added to every count
 TRAIN_PER_LANGUAGE = 4000      # bound of the training sample
-MOST_LANGUAGES = 512           # bound of the broadcast matrix: 512 x 65,536 floats
+MOST_LANGUAGES = 512           # of one broadcast matrix (512 x 65,536 floats); more are compared page by page
 SHARPNESS = 20.0               # of the score, per n-gram
 UNDETERMINED = "und"
 
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    """Lower-case code point of every letter of the basic plane, else 0."""
-    table = np.zeros(1 << 16, np.uint32)
-    for i in range(1 << 16):
+    """Lower-case code point of every letter of all planes, else 0."""
+    table = np.zeros(0x110000, np.uint32)
+    for i in range(len(table)):
         c = chr(i)
         if c.isalpha():
             low = c.lower()
@@ -53,8 +53,7 @@ def _characters(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     begins = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=begins[1:])
-    letters = _letters()
-    out = np.where(points < (1 << 16), letters[np.minimum(points, (1 << 16) - 1)], points)
+    out = _letters()[points]
     return out, np.minimum(begins[offs], len(out))
 
 
@@ -109,56 +108,86 @@ def training_counts(rows: DataFrame, languages: list[str], buckets: int = BUCKET
     return counts
 
 
-def train(docs: DataFrame, learn: Column, per_language: int = TRAIN_PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
-    """Languages and the log-probability matrix (bucket, language) from the rows
-    of ``docs`` (``doc_id, text, lang``) for which ``learn`` holds."""
-    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages: the matrix would be too large to broadcast")
-    languages = sorted(r["lang"] for r in sizes)
-    if not languages:
-        return [], np.zeros((BUCKETS, 0), np.float32)
+def label_pages(rows: DataFrame) -> Iterator[dict[str, int]]:
+    """The labels in ascending order with their numbers of rows, at most
+    ``MOST_LANGUAGES`` at a time."""
+    last = None
+    while True:
+        left = rows if last is None else rows.where(F.col("lang") > F.lit(last))
+        page = left.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES).collect()
+        if page:
+            yield {r["lang"]: r["count"] for r in page}
+        if len(page) < MOST_LANGUAGES:
+            return
+        last = page[-1]["lang"]
+
+
+def train(rows: DataFrame, sizes: dict[str, int], per_language: int = TRAIN_PER_LANGUAGE) -> np.ndarray:
+    """The log-probability matrix (bucket, language) of the labels in ``sizes``
+    from a bounded sample of ``rows`` (``doc_id, text, lang``)."""
     span = 1 << 20
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(span, -(-span * per_language // r["count"])))])
-    sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(span)) < share[F.col("lang")])
-    counts = training_counts(sample, languages)
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(span, -(-span * per_language // n)))])
+    sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(span)) < F.try_element_at(share, F.col("lang")))
+    counts = training_counts(sample, list(sizes))
     logs = np.log((counts + ALPHA) / (counts.sum(1, keepdims=True) + ALPHA * counts.shape[1]))
-    return languages, np.ascontiguousarray(logs.T.astype(np.float32))
+    return np.ascontiguousarray(logs.T.astype(np.float32))
 
 
-def predict(docs: DataFrame, languages: list[str], logs: np.ndarray, added: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """Adds ``lang_pred, score`` (or as ``added`` names them) to ``docs``, which
-    has ``text`` and any other columns. ``score`` is the winner's share of the languages' likelihoods per
-    n-gram."""
+def compared(docs: DataFrame, languages: list[str], logs: np.ndarray, names: list[str], begun: bool) -> DataFrame:
+    """``docs`` with four columns called ``names``: the best language so far, its
+    log-likelihood per n-gram, the likelihoods' sum relative to it, and the number
+    of n-grams. ``begun`` says that an earlier page has set them."""
     model = docs.sparkSession.sparkContext.broadcast((languages, logs))
-    names = docs.columns
+    kept = docs.columns[:-4] if begun else docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, matrix = model.value
         for part, data, offs in chunks(batches):
-            n = part.num_rows
-            total, grams_of = np.zeros((n, max(1, len(langs)))), np.zeros(n, np.int64)
-            if len(data) and langs:
+            total, grams_of = np.zeros((part.num_rows, len(langs))), np.zeros(part.num_rows, np.int64)
+            if len(data):
                 for grams, first in _features(data, offs, len(matrix)):
                     some = np.flatnonzero(np.diff(first))
                     if len(some):
                         total[some] += np.add.reduceat(matrix[grams], first[:-1][some], axis=0, dtype=np.float64)
                         grams_of += np.diff(first)
-            best = total.argmax(1)
             mean = total / np.maximum(grams_of, 1)[:, None]
-            score = 1 / np.exp(SHARPNESS * (mean - mean.max(1, keepdims=True))).sum(1)
-            known = grams_of > 0
-            pred = [langs[b] if k else UNDETERMINED for b, k in zip(best.tolist(), known.tolist())]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0))],
-                                             names=[*names, *added])
-
-    schema = T.StructType([*docs.schema.fields, T.StructField(added[0], T.StringType()), T.StructField(added[1], T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+            top = mean.max(1)
+            summed = np.exp(SHARPNESS * (mean - top[:, None])).sum(1)
+            pred = [langs[b] for b in mean.argmax(1).tolist()]
+            if begun:
+                old, old_top, old_sum = (part.column(len(kept) + i) for i in range(3))
+                old_top, old_sum = old_top.to_numpy(), old_sum.to_numpy()
+                pred = [b if new else a for a, b, new in zip(old.to_pylist(), pred, (top > old_top).tolist())]
+                best = np.maximum(top, old_top)
+                summed = summed * np.exp(SHARPNESS * (top - best)) + old_sum * np.exp(SHARPNESS * (old_top - best))
+                top = best
+            yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(kept))], pa.array(pred, pa.string()), pa.array(top), pa.array(summed),
+                                              pa.array(grams_of)], names=[*kept, *names])
+
+    types = (T.StringType(), T.DoubleType(), T.DoubleType(), T.LongType())
+    fields = [f for f in docs.schema.fields if f.name in kept]
+    return docs.mapInArrow(run, T.StructType([*fields, *[T.StructField(n, t) for n, t in zip(names, types)]]))
+
+
+def predict(docs: DataFrame, learn: Column, added: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Adds ``lang_pred, score`` (or as ``added`` names them) to ``docs``, which
+    has ``doc_id, text, lang`` and any other columns, from a model of the rows for
+    which ``learn`` holds. ``score`` is the winner's share of the languages'
+    likelihoods per n-gram; equal likelihoods go to the least label."""
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    names, out, begun = [f"_{added[0]}_{i}" for i in range(4)], docs, False
+    for sizes in label_pages(rows):
+        out, begun = compared(out, list(sizes), train(rows, sizes), names, begun), True
+    if not begun:
+        return docs.select("*", F.lit(UNDETERMINED).alias(added[0]), F.lit(0.0).alias(added[1]))
+    known = F.col(names[3]) > 0
+    return out.select(*docs.columns, F.when(known, F.col(names[0])).otherwise(UNDETERMINED).alias(added[0]),
+                      F.when(known, 1 / F.col(names[2])).otherwise(0.0).alias(added[1]))
 
 
 def identify(docs: DataFrame, learn: Column) -> DataFrame:
-    """``docs`` (``doc_id, text, lang`` and others) with ``lang_pred, score``
-    from a model trained on the rows where ``learn`` holds; only ``doc_id`` and
-    ``text`` go to the prediction."""
-    return predict(docs.select("doc_id", F.col("text").cast("string")), *train(docs, learn))
+    """``doc_id, text, lang_pred, score`` of ``docs`` (``doc_id, text, lang`` and
+    others) from a model trained on the rows where ``learn`` holds; ``lang`` is
+    no input of a prediction."""
+    return predict(docs.select("doc_id", "text", "lang"), learn).drop("lang")

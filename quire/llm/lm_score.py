@@ -43,7 +43,7 @@ from quire.llm.textbytes import U64, chunks, mix, mix_int, span_hashes, word_bou
 
 ORDER = 3
 PRIOR = (0.0, 4.0, 4.0)                   # mass that a state leaves to the order below, by order of its arcs
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 RANGE_KEYS = 1 << 21                      # questions that a counting task holds, about
 KEY_BITS = 56
 BEGIN, END = mix_int(1), mix_int(2)       # before the first token, as a token
@@ -85,8 +85,8 @@ def word_blocks(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "held_out", "learn", F.col("text").cast("string")).mapInArrow(run, BLOCK)
 
 
-def token_keys(ids: np.ndarray, n_words: np.ndarray, vocabulary: np.ndarray) -> list[np.ndarray]:
-    """Per order, the key of the n-gram that ends in each token (words and, per
+def token_keys(ids: np.ndarray, n_words: np.ndarray, vocabulary: np.ndarray) -> Iterator[np.ndarray]:
+    """Order by order, the key of the n-gram that ends in each token (words and, per
     text, one end) of a block; before a text stands BEGIN. A text's first token
     has no n-gram of order 3 and is given one that no n-gram shares."""
     last = np.cumsum(n_words + 1) - 1
@@ -99,12 +99,14 @@ def token_keys(ids: np.ndarray, n_words: np.ndarray, vocabulary: np.ndarray) ->
     before = np.empty_like(token)
     before[1:] = token[:-1]
     before[first] = U64(BEGIN)
+    yield mix(token) >> U64(64 - KEY_BITS)
+    yield mix(before * U64(0x9E3779B97F4A7C15) + token) >> U64(64 - KEY_BITS)
     earlier = np.empty_like(token)
     earlier[1:] = before[:-1]
     earlier[first] = U64(0)
-    pair = mix(before * U64(0x9E3779B97F4A7C15) + token)
-    triple = mix(mix(earlier * U64(0xC2B2AE3D27D4EB4F) + before) * U64(0x9E3779B97F4A7C15) + mix(token + U64(3)))
-    return [k >> U64(64 - KEY_BITS) for k in (mix(token), pair, triple)]
+    history = mix(earlier * U64(0xC2B2AE3D27D4EB4F) + before)
+    del earlier, before
+    yield mix(history * U64(0x9E3779B97F4A7C15) + mix(token + U64(3))) >> U64(64 - KEY_BITS)
 
 
 def packed(sorted_numbers: np.ndarray) -> bytes:
@@ -169,7 +171,7 @@ def answers(asked: DataFrame) -> DataFrame:
     return asked.groupBy("part").applyInArrow(run, ANSWERED)
 
 
-def log_scores(keys: list[np.ndarray], counts: list[np.ndarray], n_words: np.ndarray, tokens: int, types: int, texts: int) -> tuple[np.ndarray, np.ndarray]:
+def log_scores(counts: list[np.ndarray], n_words: np.ndarray, tokens: int, types: int, texts: int) -> tuple[np.ndarray, np.ndarray]:
     """log10 probabilities of every token at the root, and in its state: arcs
     fitting the longest known suffix, or what the failure arcs leave."""
     first = np.cumsum(n_words + 1) - (n_words + 1)
@@ -204,16 +206,17 @@ def score_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
         row = {name: left[name][0] for name in left.column_names}
         ids, n_words, vocabulary = _arrays(row)
         parts = right["part"].to_numpy()
-        keys = token_keys(ids, n_words, vocabulary)
         counts = []
-        for order, k in enumerate(keys):
-            distinct, place = np.unique(k, return_inverse=True)
+        for order, keys in enumerate(token_keys(ids, n_words, vocabulary)):
+            distinct, place = np.unique(keys, return_inverse=True)
+            del keys
             mine = [right["totals"][int(i)].as_py() for i in np.flatnonzero(parts >> range_bits == order)[np.argsort(parts[parts >> range_bits == order])]]
             totals = np.concatenate([unpacked(t) for t in mine]).astype(np.float64) if mine else np.zeros(0)
             if len(totals) != len(distinct):
                 raise ValueError("answers do not fit the block: the documents were read differently the second time")
             counts.append(totals[place])
-        base, logs = log_scores(keys, counts, n_words, tokens, types, texts)
+            del place, totals
+        base, logs = log_scores(counts, n_words, tokens, types, texts)
         first = np.cumsum(n_words + 1) - (n_words + 1)
         return pa.table({"doc_id": pa.array(row["doc_id"].as_py(), pa.int64()), "held_out": pa.array(row["held_out"].as_py(), pa.bool_()),
                          "n_tokens": pa.array(n_words + 1), "n_known": pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), first)),
