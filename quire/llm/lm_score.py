@@ -43,44 +43,54 @@ from quire.llm.textbytes import U64, chunks, mix, mix_int, span_hashes, word_bou
 
 ORDER = 3
 PRIOR = (0.0, 4.0, 4.0)                   # mass that a state leaves to the order below, by order of its arcs
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 RANGE_KEYS = 1 << 21                      # questions that a counting task holds, about
 KEY_BITS = 56
 BEGIN, END = mix_int(1), mix_int(2)       # before the first token, as a token
-BLOCK = ("block long, doc_id array<long>, held_out array<boolean>, learn array<boolean>, n_words array<int>, vocabulary array<long>, ids binary")
+BLOCK = ("block long, doc_id array<long>, held_out array<boolean>, n_words array<int>, vocabulary array<long>, ids binary")
 ASKED = "block long, part int, keys binary, counts binary"
 ANSWERED = "block long, part int, totals binary, known long, sum long"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Non-negative integers as a width byte and that many bytes of each."""
+    width = max(1, (int(numbers.max()).bit_length() + 7) // 8) if len(numbers) else 1
+    return bytes([width]) + np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, np.ndarray, np.ndarray, np.ndarray]]:
+    """Number, rows, words of each text, vocabulary and word ids of every block of
+    a task's texts (``doc_id, held_out, learn, text``)."""
+    base, number = TaskContext.get().partitionId() << 24, 0
+    rows, hashes, sizes, size = [], [], [], 0
+
+    def block():
+        vocabulary, ids = np.unique(np.concatenate(hashes), return_inverse=True)
+        return base + number, pa.Table.from_batches(rows).combine_chunks(), np.concatenate(sizes), vocabulary, ids
+
+    for part, data, offs in chunks(batches):
+        starts, ends, first = word_bounds(data, offs)
+        rows.append(part.select(["doc_id", "held_out", "learn"]))
+        hashes.append(span_hashes(data, starts, ends))
+        sizes.append(np.diff(first))
+        size += len(data)
+        if size >= BLOCK_BYTES:
+            yield block()
+            number, rows, hashes, sizes, size = number + 1, [], [], [], 0
+    if rows:
+        yield block()
+
+
 def word_blocks(docs: DataFrame) -> DataFrame:
     """Blocks of texts as word ids: ``docs`` has ``doc_id, held_out, learn, text``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, number = TaskContext.get().partitionId() << 24, 0
-        rows, hashes, sizes, size = [], [], [], 0
-
-        def block() -> pa.RecordBatch:
-            n = np.concatenate(sizes)
-            vocabulary, ids = np.unique(np.concatenate(hashes), return_inverse=True)
-            part = pa.Table.from_batches(rows).combine_chunks()
-            one = lambda a, t: pa.array([a], pa.list_(t))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([base + number], pa.int64()), one(part["doc_id"].to_pylist(), pa.int64()), one(part["held_out"].to_pylist(), pa.bool_()),
-                 one(part["learn"].to_pylist(), pa.bool_()), one(n.astype(np.int32), pa.int32()), one(vocabulary.view(np.int64), pa.int64()),
-                 pa.array([ids.astype("<u4").tobytes()], pa.binary())],
-                names=["block", "doc_id", "held_out", "learn", "n_words", "vocabulary", "ids"])
-
-        for part, data, offs in chunks(batches):
-            starts, ends, first = word_bounds(data, offs)
-            rows.append(part.select(["doc_id", "held_out", "learn"]))
-            hashes.append(span_hashes(data, starts, ends))
-            sizes.append(np.diff(first))
-            size += len(data)
-            if size >= BLOCK_BYTES:
-                yield block()
-                number, rows, hashes, sizes, size = number + 1, [], [], [], 0
-        if rows:
-            yield block()
+        one = lambda a, t: pa.array([a], pa.list_(t))
+        for number, rows, n, vocabulary, ids in text_blocks(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), one(rows["doc_id"].to_pylist(), pa.int64()), one(rows["held_out"].to_pylist(), pa.bool_()),
+                 one(n.astype(np.int32), pa.int32()), one(vocabulary.view(np.int64), pa.int64()), pa.array([packed(ids)], pa.binary())],
+                names=["block", "doc_id", "held_out", "n_words", "vocabulary", "ids"])
 
     return docs.select("doc_id", "held_out", "learn", F.col("text").cast("string")).mapInArrow(run, BLOCK)
 
@@ -109,12 +119,6 @@ def token_keys(ids: np.ndarray, n_words: np.ndarray, vocabulary: np.ndarray) ->
     yield mix(history * U64(0x9E3779B97F4A7C15) + mix(token + U64(3))) >> U64(64 - KEY_BITS)
 
 
-def packed(sorted_numbers: np.ndarray) -> bytes:
-    """Non-negative integers as a width byte and that many bytes of each."""
-    width = max(1, (int(sorted_numbers.max()).bit_length() + 7) // 8) if len(sorted_numbers) else 1
-    return bytes([width]) + np.ascontiguousarray(sorted_numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
-
-
 def unpacked(data: bytes) -> np.ndarray:
     width = data[0]
     out = np.zeros(((len(data) - 1) // width, 8), np.uint8)
@@ -122,35 +126,24 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _row(batch: pa.RecordBatch, i: int) -> dict:
-    return {name: batch.column(j)[i] for j, name in enumerate(batch.schema.names)}
-
-
-def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(row["ids"].as_buffer(), "<u4"), np.asarray(row["n_words"].values).astype(np.int64), np.asarray(row["vocabulary"].values)
-
-
-def questions(blocks: DataFrame, range_bits: int) -> DataFrame:
+def questions(docs: DataFrame, range_bits: int) -> DataFrame:
     """The sorted distinct keys of every block, by order and range (``part``),
     packed as differences, with their counts in texts to learn from."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = _row(batch, i)
-                ids, n_words, vocabulary = _arrays(row)
-                learn = np.repeat(np.asarray(row["learn"].values).astype(bool), n_words + 1)
-                out = []
-                for order, keys in enumerate(token_keys(ids, n_words, vocabulary)):
-                    distinct, place = np.unique(keys, return_inverse=True)
-                    counts = np.bincount(place[learn], minlength=len(distinct))
-                    cuts = np.searchsorted(distinct >> U64(KEY_BITS - range_bits), np.arange((1 << range_bits) + 1, dtype=U64))
-                    out += [((order << range_bits) + r, packed(np.diff(distinct[a:b], prepend=U64(0))), packed(counts[a:b]))
-                            for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a]
-                parts, keys, counts = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array([row["block"].as_py()] * len(out), pa.int64()), pa.array(parts, pa.int32()), pa.array(keys, pa.binary()),
-                                                  pa.array(counts, pa.binary())], names=["block", "part", "keys", "counts"])
-
-    return blocks.select("block", "learn", "n_words", "vocabulary", "ids").mapInArrow(run, ASKED)
+        for number, rows, n_words, vocabulary, ids in text_blocks(batches):
+            learn = np.repeat(rows["learn"].to_numpy().astype(bool), n_words + 1)
+            for order, keys in enumerate(token_keys(ids, n_words, vocabulary)):
+                distinct, place = np.unique(keys, return_inverse=True)
+                counts = np.bincount(place[learn], minlength=len(distinct))
+                del keys, place
+                cuts = np.searchsorted(distinct >> U64(KEY_BITS - range_bits), np.arange((1 << range_bits) + 1, dtype=U64)).tolist()
+                some = [(r, a, b) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number] * len(some), pa.int64()), pa.array([(order << range_bits) + r for r, _, _ in some], pa.int32()),
+                     pa.array([packed(np.diff(distinct[a:b], prepend=U64(0))) for _, a, b in some], pa.binary()),
+                     pa.array([packed(counts[a:b]) for _, a, b in some], pa.binary())], names=["block", "part", "keys", "counts"])
+
+    return docs.select("doc_id", "held_out", "learn", F.col("text").cast("string")).mapInArrow(run, ASKED)
 
 
 def answers(asked: DataFrame) -> DataFrame:
@@ -192,11 +185,10 @@ def log_scores(counts: list[np.ndarray], n_words: np.ndarray, tokens: int, types
 def score_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``
     for every row of ``docs`` (``doc_id, held_out, learn, text``)."""
-    blocks = word_blocks(docs)
     size, texts = docs.agg(F.sum(F.octet_length("text")), F.count(F.when(F.col("learn"), 1))).first()
     # about one distinct n-gram per order in seven bytes of text
     range_bits = max(4, ((size or 0) // 7 // RANGE_KEYS).bit_length())
-    replies = scratch.keep(answers(questions(blocks, range_bits)), "answers")
+    replies = scratch.keep(answers(questions(docs, range_bits)), "answers")
     types, tokens = replies.where(F.shiftright("part", range_bits) == 0).agg(F.sum("known"), F.sum("sum")).first()
     tokens, types = tokens or 0, types or 0
 
@@ -204,7 +196,8 @@ def score_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
         if not left.num_rows:
             raise ValueError("answers for a block that is not there: the documents were read differently the second time")
         row = {name: left[name][0] for name in left.column_names}
-        ids, n_words, vocabulary = _arrays(row)
+        ids, vocabulary = unpacked(row["ids"].as_py()), np.asarray(row["vocabulary"].values)
+        n_words = np.asarray(row["n_words"].values).astype(np.int64)
         parts = right["part"].to_numpy()
         counts = []
         for order, keys in enumerate(token_keys(ids, n_words, vocabulary)):
@@ -222,7 +215,6 @@ def score_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
                          "n_tokens": pa.array(n_words + 1), "n_known": pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), first)),
                          "base_score": pa.array(np.add.reduceat(base, first)), "score": pa.array(np.add.reduceat(logs, first))})
 
-    payload = blocks.select("block", "doc_id", "held_out", "n_words", "vocabulary", "ids")
     reply = replies.select(F.col("block").alias("to"), "part", "totals")
-    scored = payload.groupBy("block").cogroup(reply.groupBy("to")).applyInArrow(traverse, SCORES)
+    scored = word_blocks(docs).groupBy("block").cogroup(reply.groupBy("to")).applyInArrow(traverse, SCORES)
     return scored.withColumn("train_tokens", F.lit(tokens).cast("long"))
