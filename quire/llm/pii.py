@@ -11,12 +11,18 @@ their country code, access keys their prefix, top-level domains stay, and
 names keep gender (by title) and script. Differently formatted mentions of one
 value share its surrogate, and so do a full name and a surname alone.
 
+Coreference: the words of a name that a document gives after a title are looked
+for in the whole document, and every later or earlier mention of them alone gets
+the same surrogate.
+
 Collision check: surrogates of a type are distinct and never equal a value
 that occurs. What collides draws again, with more freedom after some draws.
 
 Defined results: a null text stays null; texts without an entity come out
-unchanged; a null or repeated ``doc_id`` keeps its row; columns other than
-``text`` pass through; an empty table gives an empty result.
+unchanged; a null or repeated ``doc_id`` keeps its row; texts of any length are
+searched whole; equal values at any places have one surrogate; columns other
+than ``text`` pass through, but for ``n_entities``, which is set anew; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,23 +33,26 @@ from pyspark.sql import functions as F
 from quire.llm.scratch import Scratch
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-MALE, FEMALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr"), ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra")
+MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин", "κ", "κος", "κύριος")
+FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа", "госпожа", "κα", "κυρία")
 NEUTRAL = ("Dr", "Prof")
 TITLE = "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))
 EMAIL = r"[\p{L}0-9._%+\-]+@[\p{L}0-9\-]+(?:\.[\p{L}0-9\-]+)*\.\p{L}{2,}"
 IP = rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?![\d]|\.\d)"
+IP6 = r"(?<![\w:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\w:])"
 ACCESS_KEY = r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b"
-SECRET = r"(?<=(?:password|passwd|pwd|token|secret|api_key|apikey|api-key)[ ]{0,2}[=:][ ]{0,2}[\"']?)[A-Za-z0-9+/_\-]{8,}"
+LABEL = "(?i:password|passwd|pwd|token|secret|api_key|apikey|api-key)"
+SECRET = rf"(?<={LABEL}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']?)[A-Za-z0-9+/_\-]{{8,}}|(?<=(?i:tel|tél|phone|fon)[.:]{{0,2}} )0\d{{2,4}}[ /\-]?\d{{5,8}}(?!\d)"
 ACCOUNT = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
 SOCIAL = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 CARD = r"(?<![\d.\-])\d(?:[ \-]?\d){12,18}(?![\d\-])"
 PHONE = (r"(?<![\w+])\+\d{1,3}(?:[ .\-]?\(\d{1,4}\))?(?:[ .\-]?\d{2,4}){2,4}(?!\w)|(?<!\w)\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\w)"
          r"|(?<![\w.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\w\-])")
-NAME = rf"\b(?:{TITLE})\.? \p{{Lu}}\p{{Ll}}+(?:[ \-]\p{{Lu}}\p{{Ll}}+)?"
-KINDS = (("email", EMAIL), ("ip", IP), ("access", ACCESS_KEY), ("secret", SECRET), ("social", SOCIAL), ("phone", PHONE),
+NAME = rf"(?<!\p{{L}})(?:{TITLE})\.? \p{{Lu}}\p{{Ll}}+(?:[ \-]\p{{Lu}}\p{{Ll}}+)?"
+KINDS = (("email", EMAIL), ("ip", IP), ("ip6", IP6), ("access", ACCESS_KEY), ("secret", SECRET), ("social", SOCIAL), ("phone", PHONE),
          ("card", CARD), ("account", ACCOUNT), ("name", NAME))
 ENTITY = "|".join(f"(?:{p})" for _, p in KINDS)
-HINT = rf"[0-9@]|\b(?:{TITLE})\b|password|passwd|pwd|token|secret|api"     # every entity has one of these
+HINT = rf"[0-9@]|(?<!\p{{L}})(?:{TITLE})(?!\p{{L}})|{LABEL}|:[a-fA-F]"     # every entity has one of these
 FREE_AFTER = 8      # draws in the exact format before longer surrogates are allowed
 # Syllables of invented names by script, and endings by gender.
 SYLLABLES = {
@@ -59,10 +68,10 @@ ENDINGS = {
 SCRIPT_OF = {"cyrillic": r"^\p{IsCyrillic}", "greek": r"^\p{IsGreek}"}
 
 
-def found(docs: DataFrame) -> DataFrame:
-    """Adds ``entities`` and the ``pieces`` of text around them."""
-    return docs.withColumn("entities", F.regexp_extract_all("text", F.lit(f"({ENTITY})"), F.lit(1))) \
-               .withColumn("pieces", F.split("text", ENTITY, -1))
+def found(docs: DataFrame, pattern: Column | str = f"({ENTITY})") -> DataFrame:
+    """Adds ``_entities`` and the ``_pieces`` of text around them."""
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    return docs.withColumn("_entities", F.regexp_extract_all("text", pattern, F.lit(1))).withColumn("_pieces", F.split("text", pattern, -1))
 
 
 def _kind(value: Column) -> Column:
@@ -108,7 +117,7 @@ def _byte(i: Column) -> Column:
 
 def _spelled(said: Column, loose: bool) -> Column:
     """Characters of the surrogate for a plain part: same classes as ``said``."""
-    hexed = said.rlike("^[0-9a-f]+$")
+    hexed = F.lower(said).rlike("^[0-9a-f:]+$")
     out = F.transform(F.split(said, ""), lambda c, i:
                       F.when(c.rlike(r"^\d$"), F.when((i == 0) & (F.col("type") == "phone"), 2 + _byte(i) % 8).otherwise(_byte(i) % 10).cast("string"))
                        .when(hexed, F.chr((97 + _byte(i) % 6).cast("int")))
@@ -199,16 +208,41 @@ def _fitted() -> tuple[Column, Column]:
     return plain, F.aggregate(F.split("said", ""), state, step)
 
 
+def _said(held: DataFrame) -> DataFrame:
+    """``_row, _at, _part, type, said, norm``: the parts of all entities. Words of
+    ``_names`` (``word, type, norm``) are mentions of a name."""
+    known = F.element_at(F.filter("_names", lambda x: x["word"] == F.col("value")), 1)
+    each = held.select("_row", "_names", F.posexplode("_entities").alias("_at", "value"))
+    mention = F.exists("_names", lambda x: x["word"] == F.col("value"))
+    each = each.withColumn("kind", F.when(F.coalesce(mention, F.lit(False)), "mention").otherwise(_kind(F.col("value"))))
+    named = F.array(F.struct(known["type"].alias("type"), F.col("value").alias("said"), known["norm"].alias("norm")))
+    return (each.withColumn("parts", F.when(F.col("kind") == "mention", named).otherwise(_parts(F.col("kind"), F.col("value"))))
+                .select("_row", "_at", F.posexplode("parts").alias("_part", "x")).select("_row", "_at", "_part", "x.type", "x.said", "x.norm"))
+
+
+def _with_mentions(held: DataFrame) -> DataFrame:
+    """``held`` with the names that each text gives after a title (``_names``),
+    and texts that give one cut again, at the single words of its names too."""
+    names = (_said(held).where(F.col("type").startswith("given") | (F.col("type") == "surname")).groupBy(F.col("_row").alias("_named"))
+             .agg(F.array_sort(F.collect_set(F.struct(F.col("said").alias("word"), "type", "norm"))).alias("_found")))
+    every = held.drop("_names").join(names, F.col("_row") == F.col("_named"), "left").withColumnRenamed("_found", "_names").drop("_named")
+    words = F.array_join(F.transform("_names", lambda x: x["word"]), "|")          # letters only
+    # one pattern per text: a regular expression is compiled anew where names differ
+    named = found(every.where("_names is not null"), F.concat(F.lit(f"({ENTITY}|(?<!\\p{{L}})(?:"), words, F.lit(")(?!\\p{L}))")))
+    return every.where("_names is null").unionByName(named)
+
+
 def replaced(docs: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """``docs`` with every entity of ``text`` replaced, and ``n_entities``."""
-    columns = docs.columns
+    columns = [c for c in docs.columns if c != "n_entities"]
+    rest = F.struct(*[F.col(c) for c in columns if c != "text"]) if len(columns) > 1 else F.struct(F.lit(1).alias("_"))
+    docs = docs.select(rest.alias("_rest"), F.col("text").cast("string").alias("text"))
+    back = [F.col("text") if c == "text" else F.col("_rest").getField(c).alias(c) for c in columns]
     hinted = F.col("text").rlike(HINT)
-    held = found(docs.where(hinted)).where(F.size("entities") > 0).drop("text")
-    held = scratch.keep(held.withColumn("_row", F.monotonically_increasing_id()), "held")
-    said = (held.select("_row", F.posexplode("entities").alias("_at", "value"))
-                .withColumn("kind", _kind(F.col("value"))).withColumn("parts", _parts(F.col("kind"), F.col("value")))
-                .select("_row", "_at", F.posexplode("parts").alias("_part", "x")).select("_row", "_at", "_part", "x.type", "x.said", "x.norm"))
-    said = scratch.keep(said, "said")
+    held = found(docs.where(hinted)).where(F.size("_entities") > 0).withColumn("_row", F.monotonically_increasing_id())
+    held = scratch.keep(held.withColumn("_names", F.lit(None).cast("array<struct<word:string,type:string,norm:string>>")), "held")
+    held = scratch.keep(_with_mentions(held).drop("text"), "mentions")
+    said = scratch.keep(_said(held), "said")
     table = scratch.keep(surrogates(said.where("norm is not null"), key, scratch), "surrogates")
     plain, laid = _fitted()
     named = F.col("type").startswith("given") | (F.col("type") == "surname")
@@ -220,8 +254,8 @@ def replaced(docs: DataFrame, key: str, scratch: Scratch) -> DataFrame:
                   .unionByName(said.where("norm is null").select("_row", "_at", "_part", F.col("said").alias("put"))))
     whole = mapped.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", "_part", "put"))).alias("puts"))
     out = held.join(whole, "_row")
-    text = F.array_join(F.transform("pieces", lambda p, i: F.concat(p, F.array_join(F.transform(
+    text = F.array_join(F.transform("_pieces", lambda p, i: F.concat(p, F.array_join(F.transform(
         F.filter("puts", lambda x: x["_at"] == i), lambda x: x["put"]), ""))), "")
-    changed = out.withColumn("text", text).withColumn("n_entities", F.size("entities")).select(*columns, "n_entities")
+    changed = out.withColumn("text", text).select(*back, F.size("_entities").alias("n_entities"))
     none = F.col("text").isNull() | ~hinted | (F.size(F.regexp_extract_all("text", F.lit(f"({ENTITY})"), F.lit(1))) == 0)
-    return docs.where(F.coalesce(none, F.lit(True))).withColumn("n_entities", F.lit(0)).unionByName(changed)
+    return docs.where(F.coalesce(none, F.lit(True))).select(*back, F.lit(0).alias("n_entities")).unionByName(changed)
