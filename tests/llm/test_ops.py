@@ -449,6 +449,115 @@ def test_embedding_links(spark):
     assert all(r.n_links <= near[r.vec_id].sum() + 1 for r in got if r.vec_id is not None and r.vec_id < 400)
 
 
+def test_surrogates_follow_mentions_and_scripts(spark):
+    rows = [(1, "Mr. John Miller called. John Miller called again. Miller left; Millers did not."), (2, "Mrs Miller and John."),
+            (3, "PASSWORD=abcd1234efgh Password: zyxw9876vu"), (4, "г-н Иванов пришёл, Иванов ушёл"), (5, "κ. Παπαδόπουλος και Παπαδόπουλος"),
+            (6, "at 2001:0db8:85a3:0000:0000:8a2e:0370:7334 now"), (7, "Tel. 030 1234567"), (8, "nothing here"), (9, ""), (None, "Mr. John Miller"), (1, "Mr. John Miller"),
+            (10, "x " * 50_000 + "Mr. John Miller")]
+    src = spark.createDataFrame([(i, t, 5, "e", "p", 1) for i, t in rows], "doc_id long, text string, n_entities int, entities string, pieces string, _row int")
+    out = replaced(src, "k", Scratch(spark, "t"))
+    assert sorted(out.columns) == sorted(src.columns)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.doc_id, []).append(r.text)
+        assert r.entities == "e" and r.pieces == "p" and r["_row"] == 1
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) called\. (\w+) (\w+) called again\. (\w+) left; Millers did not\.", next(t for t in got[1] if "again" in t))
+    assert m and m[1] == m[3] and m[2] == m[4] == m[5] and "Miller" not in m.groups() and "John" not in m.groups()
+    assert re.fullmatch(rf"Mrs {m[2]} and John\.", got[2][0])            # John is no name that this document gives
+    assert f"Mr. {m[1]} {m[2]}" in got[1] and got[None] == [f"Mr. {m[1]} {m[2]}"] and got[10][0].endswith(f"Mr. {m[1]} {m[2]}")
+    assert not any(x in got[3][0] for x in ("abcd1234", "zyxw9876")) and got[3][0].startswith("PASSWORD=")
+    m = re.fullmatch(r"г-н ([А-я]+) пришёл, ([А-я]+) ушёл", got[4][0])
+    assert m and m[1] == m[2] != "Иванов"
+    m = re.fullmatch(r"κ\. ([Α-ώ]+) και ([Α-ώ]+)", got[5][0])
+    assert m and m[1] == m[2] != "Παπαδόπουλος"
+    assert re.fullmatch(r"at (?:[0-9a-f]{4}:){7}[0-9a-f]{4} now", got[6][0]) and "8a2e:0370" not in got[6][0]
+    assert re.fullmatch(r"Tel\. \d{3} \d{7}", got[7][0]) and "1234567" not in got[7][0]
+    assert got[8] == ["nothing here"] and got[9] == [""]
+
+
+def test_surrogates_are_distinct(spark):
+    """Of 400 values of a kind, no two share a surrogate and none is a value that occurs; equal values agree."""
+    values = [f"10.{i // 20}.{i % 20}.7" for i in range(400)]
+    rows = [(i, f"from {v} to {values[(i * 7) % 400]}") for i, v in enumerate(values)]
+    put = {}
+    for r in replaced(spark.createDataFrame(rows, "doc_id long, text string"), "k", Scratch(spark, "t")).collect():
+        a, b = re.fullmatch(r"from (\S+) to (\S+)", r.text).groups()
+        for value, new in ((values[r.doc_id], a), (values[(r.doc_id * 7) % 400], b)):
+            assert put.setdefault(value, new) == new
+    assert len(set(put.values())) == 400 and not set(put.values()) & set(values)
+
+
+def planted_vectors(kind, n=600, dim=64, seed=3):
+    """Vectors of which the last 200 are just above the threshold to the first 200."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rng.standard_normal((n, dim)))
+    centre = unit(rng.standard_normal((1, dim)))
+    if kind == "clusters":
+        x = unit(unit(rng.standard_normal((20, dim)))[np.arange(n) % 20] + 0.75 * x)
+    if kind == "cone":
+        x = unit(0.6 * x + 0.8 * centre)
+    axis = centre if kind == "cone" else np.zeros((1, dim))
+    base = x[:200]
+    along = base @ axis.T
+    own = base - along * axis
+    size = np.linalg.norm(own, axis=1, keepdims=True)
+    other = rng.standard_normal((200, dim))
+    for away in (np.repeat(axis, 200, 0), own / size):
+        other -= (other * away).sum(1, keepdims=True) * away
+    share = (0.94 - along ** 2) / size ** 2          # cosine of the pair: 0.94, within the cone
+    return np.concatenate([x, along * axis + size * (share * own / size + np.sqrt(1 - share ** 2) * unit(other))])
+
+
+@pytest.mark.parametrize("kind", ["uniform", "clusters", "cone"])
+def test_embedding_links_against_all_pairs(spark, kind):
+    x = planted_vectors(kind)
+    rows = [(i, [float(c) for c in v], 1, "x", 2) for i, v in enumerate(x)]
+    src = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, row string, n int")
+    got = {r.vec_id: r for r in embedding_links(src, Scratch(spark, "t")).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    np.fill_diagonal(near, False)
+    assert near.sum() >= 390
+    roots = union_find(zip(*np.nonzero(near)), range(len(x)))
+    assert all(got[i].n_links <= near[i].sum() for i in got)
+    assert sum(r.n_links for r in got.values()) >= 0.9 * near.sum()
+    linked = [i for i in roots if near[i].any()]
+    right = [(got[i].n_links, got[i].component_id, got[i].kept) == (near[i].sum(), roots[i], roots[i] == i) for i in linked]
+    assert sum(right) >= 0.9 * len(linked)
+    assert all(got[i].component_id == i and got[i].kept and not got[i].n_links for i in got if not near[i].any())
+
+
+def test_index_grows_with_the_table():
+    from quire.llm.embedding_dedup import FIRST, PIVOTS, SMALL, index_size
+
+    assert index_size(10) == index_size(SMALL) == (PIVOTS, FIRST) and index_size(4 * SMALL) == (2 * PIVOTS, FIRST + 1)
+    assert index_size(10 ** 12) == index_size(10 ** 13)
+
+
+@pytest.mark.parametrize("page", [512, 2])
+def test_language_id_of_any_number_of_labels(spark, monkeypatch, page):
+    """Equal whether the labels are compared at once or page by page."""
+    import quire.llm.langid as L
+
+    monkeypatch.setattr(L, "MOST_LANGUAGES", page)
+    words_of = {"en": "the and of house", "fr": "le est une maison", "de": "der und ist haus", "el": "και το σπίτι", "xx": "zzz yyy xxx"}
+    rows = [(i, " ".join(w.split() * 3), lang) for i, (lang, w) in enumerate(words_of.items())] * 4 + [
+        (100, "le maison est", None), (101, "το σπίτι", None), (102, "😀😀 😀", "en"), (103, None, "en"), (104, "12 !?", "de"), (105, "𐐀𐐁𐐂", None)]
+    src = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("x"))
+    got = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in identify(src, F.col("doc_id") < 100).collect()}
+    assert [got[i][0] for i in range(100, 105)] == ["fr", "el", "und", "und", "und"] and got[105][0] in words_of
+    assert got[102] == ("und", 0.0) and all(0 <= s <= 1 for _, s in got.values())
+    logs = {lang: L.train(src.where(f"lang = '{lang}' AND doc_id < 100"), {lang: 4})[:, 0] for lang in words_of}
+    data = np.frombuffer("le maison est".encode(), np.uint8)
+    mean = {}
+    for lang, column in logs.items():
+        found = [column[g] for g, _ in L._features(data, np.array([0, len(data)]), L.BUCKETS)]
+        mean[lang] = np.concatenate(found).astype(np.float64).mean()
+    share = 1 / sum(np.exp(L.SHARPNESS * (m - mean["fr"])) for m in mean.values())
+    assert got[100][1] == pytest.approx(share, abs=1e-6)
+
+
 def test_empty_tables(spark, empty):
     s = lambda: Scratch(spark, "t")
     P = pytest.importorskip("public_tokenizers")
