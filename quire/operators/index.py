@@ -32,10 +32,12 @@ from quire.functions import weights as W
 from quire.functions.text import Profile, profile_named
 from quire.operators.bounded import n_slices, sliced_join
 from quire.session import ensure_checkpoint_dir
+from quire.sources.positional import ordered_ids
 
 TERM_KEYS = ["n", "t1", "t2"]
 MARKER_N = 0
 HOT_TERMS = 4096  # most frequent terms, joined by broadcast
+BLOCK_DOCS = 1 << 14  # listed documents, by ascending id, of a block of a saved index
 
 
 def long_col(df: DataFrame, col: str, name: str):
@@ -90,8 +92,8 @@ def counted_grams(read: DataFrame, profile: Profile, orders: tuple[int, ...] = (
 
 def postings_from_grams(grams: DataFrame) -> DataFrame:
     """tf per (term, document): partial + final hash aggregate (A1, A2)."""
-    return (grams.groupBy(*TERM_KEYS, "doc_id", "dl")
-                 .agg(F.sum("tf").alias("tf")))
+    return (grams.groupBy("doc_id", "dl", *TERM_KEYS)
+                 .agg(F.sum("tf").alias("tf")).select(*TERM_KEYS, "doc_id", "dl", "tf"))
 
 
 def vocab_postings(docs: DataFrame, vocab: DataFrame, profile: Profile | str = "word", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -157,6 +159,7 @@ class Index:
     _terms_all: DataFrame | None = field(default=None, repr=False)
     lengths: DataFrame | None = field(default=None, repr=False)  # doc_id, dl straight from the texts
     part: bool = False  # holds the postings of some terms only
+    blocks: DataFrame | None = field(default=None, repr=False)  # n, t1, t2, block, top: of a saved index
 
     # ---- construction -------------------------------------------------
     @classmethod
@@ -172,7 +175,7 @@ class Index:
         rows) keeps only grams of those terms and the length markers - a
         search needs nothing else - and drops the others before they are
         counted. Terms beyond one broadcast slice are looked up slice by
-        slice among counted rows that are written once.
+        slice among the counted rows.
         """
         profile = profile_named(profile)
         listed = docs.select(long_col(docs, id_col, "doc_id"))
@@ -181,16 +184,15 @@ class Index:
         lengths = document_sequences(read, profile).select("doc_id", "dl")
         if restrict_to is None:
             return cls(postings_from_grams(grams), listed, profile, True, True, lengths=lengths)
-        keep = restrict_to.select(*TERM_KEYS).distinct()
+        spark = docs.sparkSession
+        marker = spark.range(1).select(F.lit(MARKER_N).alias("n"), F.lit("").alias("t1"), F.lit("").alias("t2"))
+        keep = restrict_to.select(*TERM_KEYS).unionByName(marker).distinct()
         n = n_slices(keep, ["t1", "t2"])
         if n == 1:
-            flagged = grams.join(F.broadcast(keep.withColumn("_kept", F.lit(True))), TERM_KEYS, "left")
-            postings = postings_from_grams(flagged.where(F.col("_kept") | (F.col("n") == MARKER_N)))
+            postings = postings_from_grams(grams.join(F.broadcast(keep), TERM_KEYS))
         else:
-            ensure_checkpoint_dir(docs.sparkSession)
-            counted = postings_from_grams(grams).checkpoint(eager=True)
-            markers = counted.where(F.col("n") == MARKER_N)
-            postings = sliced_join(counted, keep, TERM_KEYS, n, "left_semi").unionByName(markers)
+            # inner joins with distinct terms: they stay above the counts, whose one exchange all slices read
+            postings = sliced_join(postings_from_grams(grams), keep, TERM_KEYS, n)
         return cls(postings, listed, profile, True, True, lengths=lengths)
 
     @classmethod
@@ -213,17 +215,29 @@ class Index:
     # ---- persisted form ------------------------------------------------
     def save(self, path: str, mode: str = "errorifexists") -> None:
         """Write postings (partitioned by gram order, range-clustered by term
-        so Parquet row-group statistics prune term lookups and a hot term
-        spreads over files), then terms and the corpus scalars derived from
-        the written files, and the listed documents."""
-        spark = self.postings_all.sparkSession
-        (self.postings_all.repartitionByRange(*TERM_KEYS, "doc_id").sortWithinPartitions(*TERM_KEYS, "doc_id")
-             .write.mode(mode).partitionBy("n").parquet(f"{path}/postings"))
-        written = replace(self, postings_all=spark.read.parquet(f"{path}/postings").select(*TERM_KEYS, "doc_id", "tf", "dl"),
-                          _terms_all=None if self.markers else self._terms_all, lengths=None)
-        written.terms.write.mode(mode).partitionBy("n").parquet(f"{path}/terms")
-        self.listed.write.mode(mode).parquet(f"{path}/listed")
-        n_docs, total = written.collect_stats()
+        and block so Parquet row-group statistics prune term lookups and a hot
+        term spreads over files), the terms, the corpus scalars and the listed
+        documents.
+
+        Listed documents are numbered by id and cut into blocks of
+        ``BLOCK_DOCS``. Postings carry their term's df and their document's
+        block, so weights of a saved index need no join; ``blocks`` holds the
+        largest tf / norm^2 per term and block, which bounds what a block can
+        score (see ``plans.search``)."""
+        index = self.materialized()
+        spark = index.postings_all.sparkSession
+        n_docs, total = index.collect_stats()
+        index.terms.write.mode(mode).partitionBy("n").parquet(f"{path}/terms")
+        placed = ordered_ids(index.listed.select("doc_id").distinct(), ["doc_id"], "slot")
+        placed.select("doc_id", F.expr(f"slot div {BLOCK_DOCS}").alias("block")).write.mode(mode).parquet(f"{path}/listed")
+        block_of = spark.read.parquet(f"{path}/listed")
+        order = [*TERM_KEYS, "block", "doc_id"]
+        (index.postings_with_df().join(block_of, "doc_id", "left").select(*TERM_KEYS, "doc_id", "tf", "dl", "df", "block")
+              .repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy("n").parquet(f"{path}/postings"))
+        norm = W.length_norm(F.col("dl"), F.lit(total // n_docs if n_docs else 0))
+        top = F.max(F.coalesce(F.try_divide(F.col("tf").cast("double"), norm * norm), F.lit(0.0)))
+        (spark.read.parquet(f"{path}/postings").where("block is not null").groupBy(*TERM_KEYS, "block").agg(top.alias("top"))
+              .write.mode(mode).partitionBy("n").parquet(f"{path}/blocks"))
         spark.createDataFrame(
             [(self.listed_only, self.profile.name if self.profile else None, n_docs, total)],
             "listed_only boolean, profile string, n_docs long, total_length long",
@@ -239,11 +253,12 @@ class Index:
     @classmethod
     def load(cls, spark, path: str) -> "Index":
         meta = spark.read.parquet(f"{path}/meta").first()
-        postings = spark.read.parquet(f"{path}/postings").select(*TERM_KEYS, "doc_id", "tf", "dl").where(F.col("n") > MARKER_N)
+        postings = spark.read.parquet(f"{path}/postings").select(*TERM_KEYS, "doc_id", "tf", "dl", "df", "block")
         terms = spark.read.parquet(f"{path}/terms").select(*TERM_KEYS, "df", "cf", "sum_dl")
         prof = profile_named(meta["profile"]) if meta["profile"] else None
-        return cls(postings, spark.read.parquet(f"{path}/listed"), prof, bool(meta["listed_only"]),
-                   False, (int(meta["n_docs"]), int(meta["total_length"])), terms)
+        return cls(postings, spark.read.parquet(f"{path}/listed").select("doc_id"), prof, bool(meta["listed_only"]),
+                   False, (int(meta["n_docs"]), int(meta["total_length"])), terms,
+                   blocks=spark.read.parquet(f"{path}/blocks").select(*TERM_KEYS, "block", "top"))
 
     def materialized(self) -> "Index":
         """Write the postings once to the session's checkpoint folder and
@@ -328,7 +343,7 @@ class Index:
         stats = self.stats
         if stats is None:
             stats = self.collect_stats()
-        postings = sliced_join(self.postings_all, keep, TERM_KEYS, n, "left_semi")
+        postings = sliced_join(self.postings_all.select(*TERM_KEYS, "doc_id", "tf", "dl"), keep, TERM_KEYS, n, "left_semi")
         df = sliced_join(self.terms_all, keep, TERM_KEYS, n, "left_semi")
         if not self.listed_only:
             # postings of unlisted documents count in df and in the average
@@ -340,7 +355,10 @@ class Index:
     def postings_with_df(self) -> DataFrame:
         """Postings with their term's ``df``. The ``HOT_TERMS`` most frequent
         terms are broadcast; a remaining key holds at most one in
-        ``HOT_TERMS`` of all postings, so no task of the join is hot."""
+        ``HOT_TERMS`` of all postings, so no task of the join is hot. Postings
+        of a saved index carry it already."""
+        if self.blocks is not None:
+            return self.postings.drop("block")
         terms = self.terms.select(*TERM_KEYS, "df")
         hot = F.broadcast(terms.orderBy(F.col("df").desc(), *TERM_KEYS).limit(HOT_TERMS))
         marked = self.postings.join(hot.withColumnRenamed("df", "_df"), TERM_KEYS, "left")

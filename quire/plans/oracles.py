@@ -265,3 +265,29 @@ each AS (SELECT j.topic_id, count(*) AS relevant, count(*) FILTER (r.rank <= {CU
 SELECT topic_id, relevant, found, round(found / {CUTOFF}, 6) AS precision, round(found / relevant, 6) AS recall,
        round(ap, 6) AS average_precision, round(avg(ap) OVER (), 6) AS mean_average_precision FROM each""",
 }
+
+# ---- file formats: what reading back must give -------------------------------
+
+NUMBERED = "row_number() OVER (ORDER BY doc_id) - 1"
+RUN_LINES = f"""WITH run AS ({ORACLES["search"]}),
+lines AS (SELECT lpad(r.topic_id::VARCHAR, 3, '0') AS topic_no, r.doc_id::VARCHAR AS doc_key, row_number() OVER (ORDER BY r.topic_id, r.rank) - 1 AS line FROM run r)
+"""
+
+ORACLES |= {
+    "read_vocab": f"WITH {ID_INDEX} SELECT term, term_id::INTEGER AS term_id FROM vocab",
+    "read_file_list": f"SELECT {NUMBERED} AS doc_id, concat_ws('/', source, doc_id::VARCHAR) AS path FROM documents",
+    "read_doc_lengths": f"SELECT {NUMBERED} AS doc_id, n_chars::INTEGER AS doc_len FROM documents",
+    "read_inverted_file": f"WITH {ID_INDEX}, {ID_TOPICS} SELECT n::INTEGER AS n, t1::INTEGER AS t1, t2::INTEGER AS t2, topic_id AS doc_id, qtf AS tf, "
+                          "count(*) OVER (PARTITION BY n, t1, t2) AS df FROM qtf",
+    "read_topics": """SELECT row_number() OVER (ORDER BY item_id) - 1 AS topic_pos, right(lpad(item_id::VARCHAR, 3, '0'), 3) AS topic_no,
+       length(regexp_replace(text, '[\r\n]+', ' ', 'g')) AS title_len, item_id::VARCHAR AS question FROM benchmark""",
+    "read_doc_xml": """SELECT doc_id, len(string_split(text, chr(10)))::INTEGER AS n_paragraphs,
+       sum_chars AS n_chars FROM (SELECT doc_id, text, length(translate(text, chr(10) || chr(13) || chr(9), '')) AS sum_chars FROM documents)""",
+    "read_qrels": f"SELECT lpad(topic_id::VARCHAR, 3, '0') AS topic_no, doc_id::VARCHAR AS doc_key FROM ({JUDGED})",
+    "read_topic_terms": f"WITH {ID_INDEX}, {ID_TOPICS} SELECT dense_rank() OVER (ORDER BY topic_id) - 1 AS topic_id, n::INTEGER AS n, t1::INTEGER AS t1, "
+                        "t2::INTEGER AS t2, qtf FROM qtf",
+    "write_run": RUN_LINES + "SELECT 2 * line AS at, topic_no AS token FROM lines UNION ALL SELECT 2 * line + 1, doc_key FROM lines",
+    "label_rank_file": ORACLES["label_run"],
+    "doc_path": "SELECT doc_id, '/data/coll/' || concat_ws('/', source, doc_id::VARCHAR) AS path FROM documents",
+    "search_saved_index": ORACLES["search"],
+}

@@ -18,15 +18,16 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import weights as W
 from quire.functions.text import Profile, profile_named
+from quire.operators import index as index_module
 from quire.operators import scoring as S
-from quire.operators.bounded import n_slices
-from quire.operators.index import Index
-from quire.operators.ranking import ranked_with_zeros
+from quire.operators.bounded import n_slices, sliced_join
+from quire.operators.index import TERM_KEYS, Index
+from quire.operators.ranking import ranked_with_zeros, top_k
 from quire.operators.topics import TopicBatch
 
 
@@ -110,7 +111,60 @@ class Search:
         """Contributions with the feedback terms' factors doubled."""
         return self.contributions(factors=S.boost_feedback(self.factors(nonzero), self.feedback_terms(nonzero)))
 
+    # ---- top k of a saved index by block bounds -------------------------------
+
+    @cached_property
+    def saved_factors(self) -> DataFrame:
+        """Non-zero factors of the topic terms, from the saved df."""
+        source, keep = self.source, self.topics.terms().select(*TERM_KEYS).distinct()
+        df = sliced_join(source.terms_all.select(*TERM_KEYS, "df"), keep, TERM_KEYS, n_slices(keep, ["t1", "t2"]), "left_semi")
+        factors = S.vsm_factors(self.qterms.join(df, TERM_KEYS), source.n_docs(), self.n_topics)
+        return factors.where(F.col("f") != 0).select("topic_id", *TERM_KEYS, "f").checkpoint(eager=True)
+
+    def bounds(self) -> DataFrame:
+        """``topic_id, block, bound``: what no document of the block can exceed."""
+        return (sliced_join(self.source.blocks, self.saved_factors, TERM_KEYS, self.n_slices)
+                .groupBy("topic_id", "block").agg(F.sum(F.col("f") * F.col("top")).alias("bound")))
+
+    def postings_of(self, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Saved postings of the topics' terms in the ``wanted`` (``topic_id,
+        block``), and the terms asked for in each block."""
+        asks = self.saved_factors.join(wanted.select("topic_id", "block"), "topic_id")
+        pairs = asks.select(*TERM_KEYS, "block").distinct()
+        return sliced_join(self.source.postings_all, pairs, [*TERM_KEYS, "block"], n_slices(pairs, ["t1", "t2"]), "left_semi"), asks
+
+    def block_scores(self, wanted: DataFrame) -> DataFrame:
+        """Sparse scores of the wanted topics and blocks."""
+        postings, asks = self.postings_of(wanted)
+        matched = sliced_join(postings.repartition("doc_id"), asks, [*TERM_KEYS, "block"], n_slices(asks, ["t1", "t2"]))
+        return S.vsm_scores(S.contributions(matched), self.source.avgdl())
+
+    def block_plan(self, k: int) -> tuple[DataFrame, DataFrame]:
+        """The top ``k`` of each topic's most promising blocks (as many as hold
+        ``k`` documents), and the other blocks that can still reach it: those
+        whose bound is not below the k-th score found."""
+        bounds = self.bounds().checkpoint(eager=True)
+        best = Window.partitionBy("topic_id").orderBy(F.col("bound").desc(), "block")
+        numbered = bounds.withColumn("at", F.row_number().over(best)).checkpoint(eager=True)
+        seeds = F.col("at") <= k // index_module.BLOCK_DOCS + 1
+        first = top_k(self.block_scores(numbered.where(seeds)).where("score <> 0"), k).drop("rank").checkpoint(eager=True)
+        reached = first.groupBy("topic_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select("topic_id", "least")
+        # scores are ranked at six decimals: a bound short of that by rounding counts as reaching it
+        open_blocks = (numbered.where(~seeds).join(reached, "topic_id", "left")
+                       .where(F.col("bound") * (1 + 1e-9) + 1e-6 >= F.coalesce("least", F.lit(0.0))).select("topic_id", "block"))
+        return first, open_blocks.checkpoint(eager=True)
+
+    def run_blocks(self, k: int) -> DataFrame:
+        """Top ``k`` from a saved index, reading the blocks that can matter. The
+        rows are those of :meth:`run` over all postings: a topic whose first
+        blocks do not fill its top ``k`` gets all its blocks."""
+        first, open_blocks = self.block_plan(k)
+        scores = first.unionByName(self.block_scores(open_blocks))
+        return ranked_with_zeros(scores, self.topics.ids, self.source.listed, k, True)
+
     def run(self, k: int = W.DEFAULT_TOP_K, feedback: bool = False) -> DataFrame:
+        if not feedback and isinstance(self.source, Index) and self.source.blocks is not None and self.source.listed_only:
+            return self.run_blocks(k)
         contrib = self.boosted(nonzero=True) if feedback else self.contributions(nonzero=True)
         return self.rank(self.scores(contrib), k)
 

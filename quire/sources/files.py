@@ -110,12 +110,28 @@ TOPIC_SCHEMA = T.StructType([T.StructField("topic", T.ArrayType(T.StructType(
     [T.StructField(c, T.ArrayType(T.StringType())) for c in ("number", *TOPIC_FIELDS)])))])
 
 
+def root_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files' root elements: the first start tag of every file.
+    There are no more of them than files."""
+    lines = split_tagged(spark.read.text(path))
+    tag = F.regexp_extract(F.regexp_replace("value", r"<!--.*?-->", ""), r"<([\p{L}_:][^\s/>]*)", 1)
+    first = lines.select("_file", "_block", "_mid", tag.alias("tag")).where("tag <> ''").groupBy("_file").agg(F.min_by("tag", F.struct("_block", "_mid")).alias("root"))
+    return sorted(r["root"] for r in first.select("root").distinct().collect())
+
+
 def read_topics(spark: SparkSession, path: str) -> DataFrame:
     """``topic_pos, number`` and, as arrays of every element of the name,
     ``title, question, narrative, concepts`` (S4), from the ``topic`` children
-    of the files' root element ``xml``. A missing number reads as ''."""
-    roots = (spark.read.format("xml").option("rowTag", "xml").option("ignoreSurroundingSpaces", "false")
+    of the root element, whatever its name; a ``topic`` further down is not
+    one. A missing number reads as ''. Files of several roots are refused, and
+    so is a root without topics."""
+    names = root_names(spark, path)
+    if len(names) != 1:
+        raise ValueError(f"{path}: one root element expected, found {names}")
+    roots = (spark.read.format("xml").option("rowTag", names[0]).option("ignoreSurroundingSpaces", "false")
                   .schema(TOPIC_SCHEMA).load(path))
+    if roots.where(F.size("topic") > 0).isEmpty():
+        raise ValueError(f"{path}: the root element {names[0]} has no topic")
     roots = file_positions(roots, "_first", weight=F.coalesce(F.size("topic"), F.lit(0)))
     each = roots.select("_first", F.posexplode("topic").alias("_at", "t"))
     return each.select((F.col("_first") + F.col("_at")).alias("topic_pos"),
