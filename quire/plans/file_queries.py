@@ -39,11 +39,16 @@ def _written(spark: SparkSession, lines: DataFrame, order: list[str], name: str)
     return path
 
 
-def escaped(col: str) -> F.Column:
-    out = F.regexp_replace(col, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", "")        # XML cannot hold these
-    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        out = F.replace(out, F.lit(char), F.lit(entity))
-    return out
+def _xml(spark: SparkSession, rows: DataFrame, root: str, row: str) -> str:
+    """``rows`` as well-formed XML files with a ``root`` element each."""
+    path = folder(spark, root)
+    rows.write.format("xml").option("rootTag", root).option("rowTag", row).save(path)
+    return path
+
+
+def plain(col: str) -> F.Column:
+    """Text without the characters that XML cannot hold."""
+    return F.regexp_replace(col, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", "")
 
 
 def _documents(spark, sf) -> DataFrame:
@@ -87,21 +92,19 @@ def q_read_inverted_file(spark, sf):
 
 
 def q_read_topics(spark, sf):
-    """Topics under a root of another name; one root per line."""
-    lines = table(spark, sf, "benchmark").select("item_id", F.concat(
-        F.lit("<topics><topic><number> No "), F.lpad(F.col("item_id").cast("string"), 3, "0"), F.lit("</number><title>"), escaped("text"),
-        F.lit("</title><question>"), F.col("item_id").cast("string"), F.lit("</question></topic></topics>")).alias("value"))
-    topics = R.read_topics(spark, _written(spark, lines.withColumn("value", F.regexp_replace("value", r"[\r\n]+", " ")), ["item_id"], "topics"))
+    """Topics under a root of another name."""
+    rows = table(spark, sf, "benchmark").orderBy("item_id").select(
+        F.concat(F.lit(" No "), F.lpad(F.col("item_id").cast("string"), 3, "0")).alias("number"),
+        F.regexp_replace(plain("text"), r"[\r\n]+", " ").alias("title"), F.col("item_id").cast("string").alias("question"))
+    topics = R.read_topics(spark, _xml(spark, rows, "topics", "topic"))
     return topics.select("topic_pos", T.topic_number("number").alias("topic_no"), F.length(F.get("title", F.lit(0))).cast("long").alias("title_len"),
                          F.get("question", F.lit(0)).alias("question"))
 
 
 def q_read_doc_xml(spark, sf):
     """Documents as XML, a paragraph per line of text; lengths of what is read."""
-    lines = _documents(spark, sf).select("doc_id", F.concat(
-        F.lit("<doc><title>"), F.col("doc_id").cast("string"), F.lit("</title><text><p>"),
-        F.replace(escaped("text"), F.lit("\n"), F.lit("</p><p>")), F.lit("</p></text></doc>")).alias("value"))
-    read = R.read_doc_xml(spark, _written(spark, lines.withColumn("value", F.regexp_replace("value", r"[\r\n]+", " ")), ["doc_id"], "xml"))
+    rows = _documents(spark, sf).select(F.col("doc_id").cast("string").alias("title"), F.struct(F.split(F.replace(plain("text"), F.lit("\r"), F.lit("")), "\n").alias("p")).alias("text"))
+    read = R.read_doc_xml(spark, _xml(spark, rows, "docs", "doc"))
     lengths = F.aggregate(F.transform("paragraphs", lambda p: F.coalesce(F.length(T.strip_control(p)), F.lit(0)).cast("long")), F.lit(0).cast("long"), lambda a, b: a + b)
     return read.select(F.col("title").cast("long").alias("doc_id"), F.size("paragraphs").alias("n_paragraphs"), lengths.alias("n_chars"))
 
