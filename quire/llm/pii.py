@@ -120,7 +120,7 @@ def _spelled(said: Column, loose: bool) -> Column:
     hexed = F.lower(said).rlike("^[0-9a-f:]+$")
     out = F.transform(F.split(said, ""), lambda c, i:
                       F.when(c.rlike(r"^\d$"), F.when((i == 0) & (F.col("type") == "phone"), 2 + _byte(i) % 8).otherwise(_byte(i) % 10).cast("string"))
-                       .when(hexed, F.chr((97 + _byte(i) % 6).cast("int")))
+                       .when(hexed & c.rlike("^[a-fA-F]$"), F.chr((97 + _byte(i) % 6).cast("int")))
                        .when(c.rlike(r"^\p{IsCyrillic}$"), F.substring(F.lit("абвгдежзиклмнопрстуфхцчш"), _byte(i) % 24 + 1, F.lit(1)))
                        .when(c.rlike(r"^\p{IsGreek}$"), F.substring(F.lit("αβγδεζηθικλμνξοπρστυφχψω"), _byte(i) % 24 + 1, F.lit(1)))
                        .when(c.rlike(r"^\p{L}$"), F.chr((97 + _byte(i) % 26).cast("int")))
