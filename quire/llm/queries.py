@@ -35,7 +35,7 @@ def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Passages of 50 words or more that repeat across documents."""
+    """Passages of 50 words or more that repeat across documents or inside one."""
     return repeats(table(spark, sf, "documents"), Scratch(spark, "op2"))
 
 

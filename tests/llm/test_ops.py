@@ -412,6 +412,14 @@ def test_documents_keep_their_short_lines(spark):
     assert got == {0: f"{line}\nfirst", 1: "1 2\nroses are red\n3 4", 4: "", 5: " \n", 6: None}
 
 
+def test_a_text_that_repeats_itself_is_two_intervals(spark):
+    """What stands first, and all the rest: no row per word."""
+    rows = [(1, "ha " * 3000), (2, " ".join(f"w{i}" for i in range(200)))]
+    got = repeats(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect()
+    spans = sorted((r.doc_id, r.start, r.n_words, r.kept) for r in got)
+    assert (1, 0, 50, True) in spans and (1, 1, 2999, False) in spans and len(spans) <= 4
+
+
 def test_surrogates(spark):
     rows = [(1, "Mail Bob.Smith@x.example.org or bob.smith@x.example.org, +1 (884) 555-0549 = +1-884-555-0549"),
             (2, "Mr. John Miller and Mrs Miller, card 4944339490429605 or 4944-3394-9042-9605, IP 55.63.178.142"),
