@@ -3,7 +3,7 @@
 import re
 from collections import Counter
 
-from quire.operators.index import Index
+from quire.operators.index import Index, vocab_postings
 
 ROWS = [(1, "a b a b a"), (2, "b c"), (2, "b c"), (2, "c"), (None, "a a"), (None, "a a"), (3, None), (4, "ab a b ab \U00020000x")]
 
@@ -45,3 +45,39 @@ def test_df_meets_the_postings_in_one_exchange(spark, monkeypatch):
     got = joined.select("n", "t1", "t2", "doc_id", "dl", "tf", "df").collect()
     assert {tuple(r)[:6] for r in got} == brute(ROWS) and len(got) == len(brute(ROWS))
     assert all(r["df"] == want[(r["n"], r["t1"], r["t2"])] for r in got)
+
+
+def test_vocabulary_ids_come_to_the_grams(spark):
+    docs = spark.createDataFrame([(1, "a b c a b"), (2, "b x a"), (3, None)], "doc_id long, text string")
+    vocab = spark.createDataFrame([("a", 1), ("b", 2), ("c", 0)], "term string, term_id int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = vocab_postings(docs, vocab)
+        assert "Exchange hashpartitioning" not in plan(ids)
+        got = set(map(tuple, ids.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == {(1, 1, -1, 1, 2), (1, 2, -1, 1, 2), (1, 2, -1, 2, 1), (1, 1, -1, 2, 1), (2, 1, 2, 1, 2)}
+
+
+def test_saved_terms_and_blocks_are_those_of_the_postings(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("quire.operators.index.HOT_TERMS", 1)
+    monkeypatch.setattr("quire.operators.index.BLOCK_DOCS", 2)
+    index = Index.from_documents(spark.createDataFrame(ROWS, "doc_id long, text string"))
+    path = str(tmp_path / "index")
+    index.save(path)
+    loaded = Index.load(spark, path)
+    assert sorted(map(tuple, loaded.terms.collect())) == sorted(map(tuple, index.terms.collect()))
+    saved = loaded.postings_all.collect()
+    assert sorted((r["n"], r["t1"], r["t2"], r["doc_id"] or 0, r["dl"], r["tf"]) for r in saved) == sorted((*k[:3], k[3] or 0, *k[4:]) for k in brute(ROWS))
+    n_docs, total = loaded.stats
+    top = {}
+    for r in saved:
+        norm = 0.3 + 0.7 * r["dl"] / (total // n_docs)
+        if r["block"] is not None:
+            key = (r["n"], r["t1"], r["t2"], r["block"])
+            top[key] = max(top.get(key, 0), r["tf"] / norm ** 2)
+    blocks = {tuple(r)[:4]: r["top"] for r in loaded.blocks.collect()}
+    assert len(blocks) == loaded.blocks.count() and blocks.keys() == top.keys()
+    assert all(abs(blocks[k] - top[k]) < 1e-9 for k in top)
