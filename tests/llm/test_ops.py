@@ -391,6 +391,25 @@ def test_near_lines_against_all_pairs(spark):
     assert found <= gone and len(found) >= 0.9 * len(gone) and len(gone) > 200
 
 
+@pytest.mark.parametrize("mates", [64, 8])
+def test_all_near_lines_of_a_band(spark, monkeypatch, mates):
+    """One band of 30 unrelated lines, one of them the most frequent, and 12 pairs of
+    near ones: every pair is linked, whichever line the band draws."""
+    from quire.llm import line_dedup
+    from quire.llm.line_dedup import band_links
+
+    monkeypatch.setattr(line_dedup, "MATES", mates)
+    rnd = random.Random(31)
+    line = lambda: "".join(rnd.choice("abcdefghiklmnoprstu ") for _ in range(60))
+    texts = [line() for _ in range(42)]
+    texts += [t[:40] + "v" + t[41:] for t in texts[30:]]
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    rows = spark.createDataFrame([(7, i, 5 if i == 0 else 1) for i in range(len(texts))], "key long, id long, n long")
+    scratch = Scratch(spark, "t")
+    got = {r.id: r.root for r in band_links(scratch.keep(rows, "rows"), scratch.keep(lines, "lines"), scratch).collect()}
+    assert got == {i: i - 12 if i >= 42 else i for i in range(30, 54)}
+
+
 def test_lines_are_compared_whole(spark):
     """Lines that share only their opening stay; a near line without blanks goes."""
     rnd = random.Random(6)
