@@ -422,6 +422,18 @@ def test_lines_are_compared_whole(spark):
     assert [i for i in range(len(lines)) if got[i]] == [6, 8]
 
 
+def test_lines_are_signed_at_every_position(spark):
+    """Near lines without blanks, digits or the letter e, with changes at the beginning and
+    in the middle, and near lines of 7 to 12 characters go."""
+    rnd = random.Random(21)
+    dense = ["".join(rnd.choice("bcdfghjklmnpqrstvw") for _ in range(150)) for _ in range(6)]
+    pairs = [(t, "x" + t[1:]) for t in dense[:3]] + [(t, "y" + t[1:70] + "z" + t[71:]) for t in dense[3:]]
+    pairs += [("bcdfghj", "bcdfghjk"), ("roundabt", "xroundabt"), ("mnpqrstvwxz", "mnpqrstvwxzb")]
+    lines = [t for pair in pairs for t in pair]
+    got = {r.row: list(r.removed) for r in removed_lines(spark.createDataFrame([(i, i, t) for i, t in enumerate(lines)], "row long, doc_id long, text string"), Scratch(spark, "t")).collect()}
+    assert [i for i in range(len(lines)) if got[i]] == list(range(1, len(lines), 2))
+
+
 def test_documents_keep_their_short_lines(spark):
     """A document goes with its removed lines only if no word is left."""
     line = "a licence line that stands at the top of every document of the source"
