@@ -81,3 +81,45 @@ def test_saved_terms_and_blocks_are_those_of_the_postings(spark, tmp_path, monke
     blocks = {tuple(r)[:4]: r["top"] for r in loaded.blocks.collect()}
     assert len(blocks) == loaded.blocks.count() and blocks.keys() == top.keys()
     assert all(abs(blocks[k] - top[k]) < 1e-9 for k in top)
+
+
+def test_packed_postings_have_their_df(spark, monkeypatch):
+    """Blocks and parts of a few rows, null ids and words, counts of 0: the rows of a
+    window over the terms; what moves is blocks."""
+    import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from quire.operators import packed
+
+    monkeypatch.setattr(packed, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(packed, "PART_ROWS", 40)
+    monkeypatch.setattr(packed, "OUT_ROWS", 7)
+    rnd = random.Random(4)
+    words = ["a", "b", "", "çé", None, "long word"]
+    rows = [(rnd.choice([1, 2]), rnd.choice(words), rnd.choice(words[:3]), rnd.choice([None, 1, 2, 3]), rnd.choice([0, 1, 5, None]), 9) for _ in range(400)]
+    postings = spark.createDataFrame(rows, "n int, t1 string, t2 string, doc_id long, tf long, dl long").repartition(3)
+    got = packed.with_df(postings, ["n", "t1", "t2"])
+    want = postings.withColumn("df", F.count(F.when(F.col("tf") > 0, 1)).over(Window.partitionBy("n", "t1", "t2")))
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert packed.with_df(postings.limit(0), ["n", "t1", "t2"]).isEmpty()
+    docs = spark.createDataFrame([(i, f"alpha w{i % 5} beta w{i % 3}") for i in range(20)], "doc_id long, text string")
+    from quire.operators.index import Index
+    plan = Index.from_documents(docs).materialized().postings_with_df()._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(part" in plan and "Window" not in plan
+
+
+def test_written_tables_free_their_shuffle_files(spark):
+    import time
+
+    from pyspark.sql import functions as F
+    from quire.operators.written import written
+
+    status = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    held = lambda: {b.name() for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(status.getAllBlocks()) if b.isShuffle()}
+    before = held()
+    table = written(spark.range(1000).repartition(5, F.col("id")), "t")
+    end = time.time() + 20
+    while held() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not held() - before and table.count() == 1000
