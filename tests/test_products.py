@@ -55,3 +55,24 @@ def test_no_common_term(spark):
     topics = spark.createDataFrame([(1, "gamma"), (2, "delta")], "topic_id long, text string")
     s = Search(docs, TopicBatch.from_table(topics, "topic_id", "text"))
     assert _rows(s.run(1)) == [(1, 1, 0.0, 1), (2, 1, 0.0, 1)]
+
+
+def test_slices_are_taken_in_turn(spark, monkeypatch):
+    """Rows do not depend on the slices, and no plan holds more than ``MOST_HELD`` of them."""
+    from pyspark.sql import functions as F
+    from quire import TopicBatch, search
+    from quire.operators import bounded, products
+
+    small = spark.range(40).select(F.col("id").cast("string").alias("key"))
+    joined = bounded.sliced_join(spark.range(200).select((F.col("id") % 60).cast("string").alias("key")), small, ["key"], 7)
+    assert joined.count() == 40 * 3 + 20 and joined._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 0
+    docs = spark.createDataFrame([(i, f"alpha w{i % 5} beta w{i % 3}") for i in range(20)], "doc_id long, text string")
+    topics = TopicBatch.from_table(spark.createDataFrame([(t, f"alpha w{t} w{t + 1} beta") for t in range(5)], "id long, text string"), "id", "text")
+    want = sorted(map(tuple, search(docs, topics, k=5).collect()))
+    monkeypatch.setattr(products, "SLICE_TOPICS", 1)
+    monkeypatch.setattr(products, "MOST_SLICES", 2)
+    spark.conf.set("quire.broadcast.maxBytes", "400")
+    try:
+        assert sorted(map(tuple, search(docs, topics, k=5).collect())) == want
+    finally:
+        spark.conf.unset("quire.broadcast.maxBytes")
